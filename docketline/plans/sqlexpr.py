@@ -152,8 +152,11 @@ def format_html(resp: str, src: str) -> str:
 
 def sse_content(line: str) -> str:
     body = f"regexp_replace({line}, '^data: ', '')"
-    return (f"(CASE WHEN json_valid({body}) AND json_type({body}) = 'OBJECT' "
-            f"THEN json_extract_string({body}, '$.content') END)")
+    return (f"(CASE WHEN {is_json_object(body)} THEN json_extract_string({body}, '$.content') END)")
+
+
+def is_json_object(x: str) -> str:
+    return f"coalesce(CASE WHEN json_valid({x}) THEN json_type({x}) = 'OBJECT' END, FALSE)"
 
 
 def review_flag(x: str) -> str:

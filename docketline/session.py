@@ -30,6 +30,7 @@ def build_session(master: str | None = None, app: str = "docketline",
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
     )
     for k, v in (extra or {}).items():

@@ -8,7 +8,7 @@ them. The matching DuckDB forms live in ``docketline.plans.oracle``.
 | entry_json | documents ⟕ labels, one JSON object per entry (source shape) |
 | items | part ∪ supplier as (id, description) with a load order (last wins) |
 | prompts | benchmark as (prompt_id, prompt_text) |
-| responses | assistant turns of conversations, '* ' after each line break |
+| responses | conversation turns; assistant turns get '* ' after each line break |
 | chunks | conversations as event-stream lines; non-assistant turns are not JSON |
 | watch | events as (path, version, content) snapshots |
 | worklist / ledger | order and customer keys as requested and finished books |
@@ -79,11 +79,14 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model answers: assistant turns, each line break followed by '* '."""
+    """Raw model answers, one per turn: assistant turns have '* ' after each
+    line break (bullet lists), other turns are plain prose."""
     conv = table(spark, sf_dir, "conversations")
-    return conv.where(F.col("role") == "assistant").select(
-        "conv_id", "turn",
-        F.replace(F.col("text"), F.lit("\n"), F.lit("\n* ")).alias("response"))
+    return conv.select(
+        "conv_id", "turn", "role",
+        F.when(F.col("role") == "assistant",
+               F.replace(F.col("text"), F.lit("\n"), F.lit("\n* ")))
+        .otherwise(F.col("text")).alias("response"))
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
