@@ -63,8 +63,14 @@ def parse_entries(df: DataFrame) -> DataFrame:
     'true'/'false'); a missing flag is ''; a missing ``bookItemId`` is the text
     'None'; a missing ``entryDate`` is 0 while a null or non-numeric one is
     invalid. Rows whose ``raw`` is not a JSON object go to ``json_quarantine``.
+
+    The JSON text is parsed once into a VARIANT column; every field is read
+    from that column (Spark keeps the projection since it is referenced many
+    times), so wide entries are not re-parsed per field.
     """
-    v = F.try_parse_json("raw")
+    parsed = df.withColumn("_v", F.try_parse_json("raw"))
+    parsed = parsed.where(F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)))
+    v = F.col("_v")
 
     def s(path):
         return F.try_variant_get(v, path, "string")
@@ -77,7 +83,7 @@ def parse_entries(df: DataFrame) -> DataFrame:
     book = s("$.courtBookId")
     if "court_book_id" in df.columns:
         book = F.coalesce(book, F.col("court_book_id"))
-    return df.where(F.schema_of_variant(v) .startswith("OBJECT")).select(
+    typed = parsed.select(
         book.alias("court_book_id"),
         F.col("pos").cast("bigint").alias("pos"),
         s("$.id").alias("line_id"),
@@ -85,11 +91,12 @@ def parse_entries(df: DataFrame) -> DataFrame:
         s("$.handwritten").alias("handwritten_raw"),
         s("$.relevant").alias("relevant_raw"),
         date_ms.alias("entry_date_ms"),
-        date_ms.isNotNull().alias("entry_date_valid"),
         s("$.entryOriginal").alias("entry_original_html"),
         s("$.entryFinal").alias("entry_final_html"),
         F.col("raw"),
     )
+    return typed.withColumn("entry_date_valid", F.col("entry_date_ms").isNotNull()) \
+        .select(*ENTRY_COLUMNS)
 
 
 def json_quarantine(df: DataFrame, col: str = "raw") -> DataFrame:
