@@ -25,7 +25,8 @@ entries AS (
               THEN {fx.ENTRY_EPOCH_MS} + d.doc_id * {fx.ENTRY_STEP_MS} ELSE 0 END AS BIGINT) AS entry_date_ms,
          TRUE AS entry_date_valid,
          {S.html_paragraphs('d.text')} AS entry_original_html,
-         {S.html_paragraphs('d.text')} AS entry_final_html
+         {S.html_paragraphs('d.text')} AS entry_final_html,
+         d.lang, d.n_chars, l.quality IS NOT NULL AS labelled
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 ),
 entries_n AS (
@@ -269,6 +270,30 @@ FROM responses GROUP BY conv_id""",
     "merge_back": with_(*PIPE, PARTS, SHEET, EXTRACT) + "\nSELECT court_book_id, line_id, matched, entry_final FROM merged",
     "writeback_delta": with_(*PIPE, PARTS, SHEET, EXTRACT) + f"""
 SELECT court_book_id, line_id, '{Q.RUN_ID}' AS run_id, entry_final FROM merged WHERE matched""",
+    "column_width_profile": with_(*PIPE, PARTS, SHEET) + ",\nprof AS (\n" + "\n  UNION ALL\n".join(
+        f"  SELECT court_book_id, '{chr(65 + i)}' AS column_letter, '{disp}' AS column_name, "
+        f"max(length({col})) AS max_len FROM sheet GROUP BY court_book_id"
+        for i, (col, disp) in enumerate(zip(
+            ["source_doc", "entry_date", "entry_original", "response", "handwritten", "time_processed",
+             "line_id"],
+            ["Source Doc", "EntryDate", "EntryOriginal", "Response", "Handwritten", "TimeProcessed",
+             "LineID"]))) + """)
+SELECT court_book_id, column_letter, column_name,
+       CAST(CASE column_letter WHEN 'C' THEN 30 WHEN 'D' THEN 100
+            ELSE greatest(length(column_name), coalesce(max_len, 0)) + 2 END AS BIGINT) AS width
+FROM prof""",
+    "chronology_payload": with_(*PIPE, PARTS, SHEET, EXTRACT) + """
+SELECT court_book_id, line_id,
+       '{"id":' || line_id || ',"courtBookId":' || to_json(court_book_id)
+       || ',"bookItemId":' || book_item_id
+       || CASE WHEN handwritten_raw IS NOT NULL THEN ',"handwritten":' || to_json(handwritten_raw) ELSE '' END
+       || CASE WHEN relevant_raw IS NOT NULL THEN ',"relevant":' || to_json(relevant_raw) ELSE '' END
+       || CASE WHEN labelled THEN ',"entryDate":' || CAST(entry_date_ms AS VARCHAR) ELSE '' END
+       || ',"entryOriginal":' || to_json(entry_original_html)
+       || CASE WHEN lang IS NOT NULL THEN ',"lang":' || to_json(lang) ELSE '' END
+       || CASE WHEN n_chars IS NOT NULL THEN ',"nChars":' || CAST(n_chars AS VARCHAR) ELSE '' END
+       || ',"entryFinal":' || coalesce(to_json(entry_final), 'null') || '}' AS payload
+FROM merged""",
     "worklist_scan": with_(WORK) + "\nSELECT line_no, ID FROM worklist WHERE ID IS NOT NULL AND ID <> ''",
     "incremental_anti": with_(WORK) + "\nSELECT line_no, ID FROM worklist WHERE ID NOT IN (SELECT ID FROM ledger)",
     "incremental_semi": with_(WORK) + "\nSELECT line_no, ID FROM worklist WHERE ID IN (SELECT ID FROM ledger)",
