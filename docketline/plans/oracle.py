@@ -263,6 +263,10 @@ SELECT conv_id, arg_min(role, turn) FILTER (WHERE role IS NOT NULL) AS entry_rol
                                  '\\A\\n+', '') AS response
 FROM responses GROUP BY conv_id""",
     "part_table": with_(*PIPE, PARTS) + "\nSELECT * FROM parts",
+    "parts_scan": with_(*PIPE, PARTS) + """
+SELECT court_book_id, batch_no, count(*) AS n_rows, min("index") AS first_index, max("index") AS last_index,
+       TRUE AS n_files_ok
+FROM parts GROUP BY 1, 2""",
     "union_parts": with_(*PIPE, PARTS) + "\nSELECT court_book_id, status, count(*) AS n_rows FROM parts GROUP BY 1, 2",
     "chronology_sheet": with_(*PIPE, PARTS, SHEET) + "\nSELECT * FROM sheet",
     "review_flag": with_(*PIPE, PARTS, SHEET) + f"\nSELECT court_book_id, line_id, {S.review_flag('response')} AS review_flag FROM sheet",

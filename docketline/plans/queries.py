@@ -208,6 +208,24 @@ def q_part_table(spark, sf):
     return _fmt_parts(_run(spark, sf).parts)
 
 
+def q_parts_scan(spark, sf):
+    """Part table written as one folder per book and batch, read back; book
+    and batch come from the folder layout."""
+    import os
+    import uuid
+
+    from docketline import sinks
+    from docketline.session import ensure_checkpoint_dir
+    path = os.path.join(ensure_checkpoint_dir(spark), "parts", uuid.uuid4().hex)
+    parts = _fmt_parts(_run(spark, sf).parts)
+    sinks.write_parts(parts, path)
+    back = sinks.read_parts(spark, path, parts.schema)
+    return back.groupBy("court_book_id", "batch_no").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("index").alias("first_index"),
+        F.max("index").alias("last_index"), F.countDistinct("file_name").cast("bigint").alias("n_files_ok")) \
+        .withColumn("n_files_ok", F.col("n_files_ok") >= 1)
+
+
 def q_union_parts(spark, sf):
     parts = _run(spark, sf).parts
     return parts.groupBy("court_book_id", "status").agg(F.count(F.lit(1)).alias("n_rows"))
