@@ -191,6 +191,15 @@ def first_paragraph(c, max_length: int = FIRST_LINE_MAX) -> Column:
     return F.coalesce(cut, F.lit("-"))
 
 
+def paragraphs_alternate(c) -> Column:
+    """True when every ``<p>`` is closed by ``</p>`` before the next one opens
+    (no open or nested paragraphs): then ``first_paragraph`` is exact."""
+    s = F.regexp_replace(F.regexp_replace(_drop_raw_blocks(F.coalesce(_c(c), F.lit(""))),
+                                          P_OPEN_RX, _P_OPEN), P_CLOSE_RX, _P_CLOSE)
+    marks = F.regexp_replace(s, f"[^{_P_OPEN}{_P_CLOSE}]+", "")
+    return marks.rlike(f"^(?:{_P_OPEN}{_P_CLOSE})*$")
+
+
 def is_upper(c) -> Column:
     """``str.isupper()``: some upper-case letter and no lower/title-case one."""
     x = F.coalesce(_c(c), F.lit(""))
