@@ -77,6 +77,26 @@ def entry_texts(df: DataFrame) -> DataFrame:
             .withColumn("tokens", T.token_estimate("n_words")))
 
 
+_STEP1_KEEP = ["court_book_id", "pos", "line_id", "book_item_id", "handwritten", "relevant",
+               "route", "book_item_description", "entry_date_ms", "entry_date_valid",
+               "entry_modified", "first_line", "entry_description", "tokens", "n_parts",
+               "_parts", "unique_id", "_exact_html"]
+
+
+def _exact_first_lines(e: DataFrame) -> DataFrame:
+    """Recompute the first line with the exact HTML path for the rows that
+    need it. ``e`` is read from the materialised step-1 table, so the split
+    re-reads Parquet (the flagged branch is pruned by the null filter) rather
+    than recomputing the source."""
+    from docketline.functions.html_exact import first_paragraph_exact
+    flagged = F.col("_exact_html").isNotNull()
+    plain = e.where(~flagged)
+    exact = (e.where(flagged)
+             .withColumn("first_line", first_paragraph_exact(F.col("_exact_html")))
+             .withColumn("entry_description", T.entry_description("first_line")))
+    return plain.unionByName(exact).drop("_exact_html")
+
+
 def courtbook_rows(entries: DataFrame, items: DataFrame, token_limit: int = T.TOKEN_LIMIT,
                    block_rows: int = DEFAULT_BLOCK_ROWS, keep_internal: bool = False) -> DataFrame:
     """Step 1 output: one row per entry part with a 0-based running ``index``
@@ -85,14 +105,19 @@ def courtbook_rows(entries: DataFrame, items: DataFrame, token_limit: int = T.TO
     e = lookup_description(e, items)
     e = entry_texts(e)
     bypass = F.col("route") == ROUTE_BYPASS
+    html = F.coalesce(F.col("entry_final_html"), F.lit(""))
+    needs_exact = ~(T.paragraphs_alternate(html) & ~T.needs_exact_html(html))
     e = (e
          .withColumn("n_parts", F.when(bypass, F.lit(1).cast("bigint"))
                      .otherwise(T.part_count("tokens", token_limit)))
          .withColumn("_parts", F.when(bypass, F.array("entry_text"))
                      .otherwise(T.split_words("_words", "n_parts")))
          .withColumn("unique_id", T.entry_uid("court_book_id", "line_id", "pos"))
-         .drop("_words"))
+         # HTML is kept only for rows whose first line needs the exact path
+         .withColumn("_exact_html", F.when(needs_exact, html)))
+    e = e.select(*_STEP1_KEEP)
     e = exclusive_running_sum(e, "court_book_id", "pos", "n_parts", "_base", block_rows)
+    e = _exact_first_lines(e)
     rows = e.select("*", F.posexplode("_parts").alias("part_idx", "entry_original"))
     rows = rows.withColumns({
         "index": F.col("_base") + F.col("part_idx"),

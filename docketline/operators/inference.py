@@ -57,6 +57,13 @@ def request_table(rows: DataFrame) -> DataFrame:
             .withColumn("request_hash", request_hash("entry_original", "prompt_text")))
 
 
+def request_body(text="text", prompt="prompt") -> Column:
+    """JSON body of a model request: {"text": …, "prompt": …}."""
+    t = F.col(text) if isinstance(text, str) else text
+    p = F.col(prompt) if isinstance(prompt, str) else prompt
+    return F.to_json(F.struct(t.alias("text"), p.alias("prompt")))
+
+
 def request_dedup(requests: DataFrame, answered: DataFrame | None = None) -> DataFrame:
     """One request per distinct hash, minus hashes already answered (a cache
     of earlier responses). Partial aggregation keeps a hot hash cheap."""

@@ -85,3 +85,10 @@ def require_columns(df: DataFrame, required: set[str], what: str = "input") -> D
     if missing:
         raise ValueError(f"{what} missing required columns: {sorted(missing)}")
     return df
+
+
+def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
+    """Add a literal column only where it is absent (a present NULL stays
+    NULL); decided on the schema, no data is read."""
+    missing = {k: F.lit(v) for k, v in defaults.items() if k not in df.columns}
+    return df.withColumns(missing) if missing else df

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from docketline.operators import extract, inference, payload, post
+from docketline.session import materialize
 
 
 @dataclass
@@ -22,10 +23,22 @@ class ChronologyRun:
     delta: DataFrame       # step 5: write-back rows
 
 
+def land_entries(entries: DataFrame) -> DataFrame:
+    """Write the typed entries once (raw JSON → typed Parquet table).
+
+    Every later step filters and projects them; on the landed table those
+    filters reach the Parquet scan, whereas on the JSON form Catalyst pushes
+    them through the parse and parses each entry again per predicate. Step 1
+    and the payload merge also share this one parse.
+    """
+    return materialize(entries, "entries")
+
+
 def run_chronology(entries: DataFrame, items: DataFrame, prompts: DataFrame, *,
                    scorer=None, run_id: str = "run-0", run_ts: str = "1970-01-01 00:00:00",
                    token_limit: int = extract.T.TOKEN_LIMIT,
                    answered: DataFrame | None = None) -> ChronologyRun:
+    entries = land_entries(entries)
     rows = extract.courtbook_rows(entries, items, token_limit=token_limit, keep_internal=True)
     parts = inference.part_table(rows, prompts, scorer=scorer, run_ts=run_ts, answered=answered)
     sheet = post.chronology_sheet(parts)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from docketline.functions import text as T
 from docketline.operators import extract, inference, joins, payload, post
 from docketline.operators.ordered import previous_non_null
-from docketline.plans.chronology import run_chronology
+from docketline.plans.chronology import land_entries, run_chronology
 from docketline.sources import fixtures as fx
 from docketline.sources import readers
 
@@ -33,7 +33,7 @@ def _entries(spark, sf):
 
 
 def _rows(spark, sf, limit=T.TOKEN_LIMIT):
-    return extract.courtbook_rows(_entries(spark, sf), fx.items(spark, sf),
+    return extract.courtbook_rows(land_entries(_entries(spark, sf)), fx.items(spark, sf),
                                   token_limit=limit, keep_internal=True)
 
 
@@ -151,7 +151,7 @@ def q_prompt_lookup(spark, sf):
 
 
 def q_courtbook_rows(spark, sf):
-    r = extract.courtbook_rows(_entries(spark, sf), fx.items(spark, sf))
+    r = extract.courtbook_rows(land_entries(_entries(spark, sf)), fx.items(spark, sf))
     # Nullable ids are emitted as text so both engines type them alike.
     return r.withColumn("entry_date", T.py_datetime_str("entry_date")) \
         .withColumn("prompt_id", F.col("prompt_id").cast("string"))

@@ -115,3 +115,28 @@ def test_change_detect_rule(spark):
 def test_required_columns(spark):
     df = spark.createDataFrame([(1,)], "a int")
     assert joins.missing_columns(df, {"a", "b"}) == {"b"}
+
+
+def test_with_defaults_only_when_absent(spark):
+    df = spark.createDataFrame([(None,)], "Handwritten string")
+    out = joins.with_defaults(df, {"Handwritten": "false", "Book Item Description": "-"}).first()
+    assert out["Handwritten"] is None and out["Book Item Description"] == "-"
+
+
+def test_request_body_and_pandas_scorer(spark):
+    reqs = spark.createDataFrame([("h1", "One. Two!", "p"), ("h2", "", "p")],
+                                 "request_hash string, text string, prompt string")
+    body = reqs.select(inference.request_body()).first()[0]
+    assert json.loads(body) == {"text": "One. Two!", "prompt": "p"}
+    native = {r.request_hash: r.raw_response for r in inference.native_scorer()(reqs).collect()}
+    py = {r.request_hash: r.raw_response for r in
+          inference.pandas_scorer(inference.pandas_sentence_bullets)(reqs).collect()}
+    assert native == py == {"h1": "* One.\n* Two!", "h2": "* "}
+
+
+def test_pandas_scorer_contains_errors(spark):
+    def boom(client, frame):
+        raise RuntimeError("down")
+    reqs = spark.createDataFrame([("h1", "x", "p")], "request_hash string, text string, prompt string")
+    out = inference.pandas_scorer(boom)(reqs).first()
+    assert out.raw_response == "Error: RuntimeError"
