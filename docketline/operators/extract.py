@@ -69,8 +69,8 @@ def entry_texts(df: DataFrame) -> DataFrame:
     return (df
             .withColumn("entry_text", T.html_to_text("entry_original_html"))
             .withColumn("entry_modified", T.html_to_text("entry_final_html"))
-            .withColumn("first_line", T.first_paragraph(
-                F.coalesce(F.col("entry_final_html"), F.lit(""))))
+            .withColumn("_pm", T.paragraph_marked("entry_final_html"))
+            .withColumn("first_line", T.first_paragraph("_pm", marked=True))
             .withColumn("entry_description", T.entry_description("first_line"))
             .withColumn("_words", T.words("entry_text"))
             .withColumn("n_words", F.size("_words").cast("bigint"))
@@ -106,7 +106,7 @@ def courtbook_rows(entries: DataFrame, items: DataFrame, token_limit: int = T.TO
     e = entry_texts(e)
     bypass = F.col("route") == ROUTE_BYPASS
     html = F.coalesce(F.col("entry_final_html"), F.lit(""))
-    needs_exact = ~(T.paragraphs_alternate(html) & ~T.needs_exact_html(html))
+    needs_exact = ~(T.paragraphs_alternate("_pm", marked=True) & ~T.needs_exact_html(html))
     e = (e
          .withColumn("n_parts", F.when(bypass, F.lit(1).cast("bigint"))
                      .otherwise(T.part_count("tokens", token_limit)))
