@@ -54,3 +54,26 @@ def test_incremental_skips_finished(spark):
     q.awaitTermination()
     assert seen == [["11", "12"], ["13"]]
     assert sorted(r.ID for r in spark.read.parquet(ledger).collect()) == ["11", "12", "13"]
+
+
+def test_sse_stream_equals_batch(spark):
+    from pyspark.sql import Window
+
+    from docketline.operators.inference import sse_fold
+    from docketline.streaming.responses import sse_fold_stream
+    chunks = fx.chunks(spark, SF01)
+    batch = {r.request_id: r.response for r in sse_fold(chunks).collect()}
+    last = F.max("chunk_no").over(Window.partitionBy("request_id"))
+    landed = chunks.withColumn("done", F.col("chunk_no") == last)
+    src = tempfile.mkdtemp(prefix="sse-src-")
+    ranged = landed.repartitionByRange(3, "chunk_no").withColumn("_p", F.spark_partition_id()).cache()
+    for i in range(3):   # early chunks first, the done chunks come in later files
+        ranged.where(F.col("_p") == i).drop("_p").coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    stream = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (sse_fold_stream(stream).writeStream.format("memory").queryName("sse_test")
+         .outputMode("append").option("checkpointLocation", tempfile.mkdtemp(prefix="ck-")).start())
+    q.processAllAvailable()
+    q.stop()
+    streamed = {r.request_id: r.response for r in spark.sql("SELECT * FROM sse_test").collect()}
+    assert streamed == batch
