@@ -16,10 +16,34 @@ def test_lookup_is_broadcast(spark):
     assert "BroadcastHashJoin" in p
 
 
+def _python_nodes(p: str) -> list[tuple[str, str]]:
+    """(Python node line, its subtree down to the first scan) per Python node."""
+    lines = p.splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if "EvalPython" in line:
+            depth = line.index("+-")
+            below = []
+            for nxt in lines[i + 1:]:
+                if "+-" in nxt and nxt.index("+-") <= depth:
+                    break
+                below.append(nxt)
+                if "FileScan" in nxt:
+                    break
+            out.append((line, "\n".join(below)))
+    return out
+
+
 def test_pipeline_has_no_python_and_no_single_partition(spark):
+    """No row-at-a-time Python anywhere; the one Arrow UDF allowed is the
+    exact first-paragraph path, and only on the rows routed to it (a
+    null filter on the routed HTML sits right below it)."""
     for name in ("courtbook_rows", "chronology_payload", "change_detect", "resubmit_reject"):
         p = plan(QUERIES[name](spark, SF01))
-        assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p, name
+        assert "BatchEvalPython" not in p, name
+        for node, below in _python_nodes(p):
+            assert "ArrowEvalPython [first_paragraph_exact(" in node, (name, node)
+            assert "Filter" in below and "isnotnull(_exact_html" in below, (name, below)
         assert "SinglePartition" not in p, name
 
 

@@ -73,7 +73,17 @@ def test_sse_stream_equals_batch(spark):
     stream = spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1).parquet(src)
     q = (sse_fold_stream(stream).writeStream.format("memory").queryName("sse_test")
          .outputMode("append").option("checkpointLocation", tempfile.mkdtemp(prefix="ck-")).start())
-    q.processAllAvailable()
-    q.stop()
+    # With a processing-time timeout Spark runs a no-data batch after every
+    # batch (to fire timeouts), so processAllAvailable() would never return:
+    # wait for every request to be emitted, with a deadline instead.
+    deadline = time.time() + 180
+    try:
+        while time.time() < deadline:
+            assert q.exception() is None, q.exception()
+            if spark.sql("SELECT count(*) FROM sse_test").first()[0] >= len(batch):
+                break
+            time.sleep(1)
+    finally:
+        q.stop()
     streamed = {r.request_id: r.response for r in spark.sql("SELECT * FROM sse_test").collect()}
     assert streamed == batch
