@@ -106,13 +106,17 @@ def split_words(word_arr, n_parts) -> Column:
 
 
 def decode_entities(c) -> Column:
-    """Decode the native entity list; texts without '&' are passed through
-    without the ten replace scans."""
-    src = _c(c)
-    out = src
+    """Decode the native entity list.
+
+    The input appears once in the expression. A ``when(contains('&'), …)``
+    guard would repeat it three times, and Spark does not share a repeated
+    sub-expression that holds a lambda, so the regexes and the node
+    ``transform`` below would run again per branch. A ``replace`` that finds
+    nothing is one ``indexOf`` scan and returns its input."""
+    out = _c(c)
     for ent, ch in NATIVE_ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
-    return F.when(src.contains("&"), out).otherwise(src)
+    return out
 
 
 def needs_exact_html(c) -> Column:
@@ -197,8 +201,9 @@ def first_paragraph(c, max_length: int = FIRST_LINE_MAX, marked: bool = False) -
         pieces,
         lambda p: F.array_join(_text_nodes(F.substring_index(p, _P_CLOSE, 1)), ""))
     first = F.try_element_at(F.filter(texts, lambda t: t != ""), F.lit(1))
-    cut = F.when(F.length(first) > max_length,
-                 F.concat(F.substring(first, 1, max_length), F.lit("..."))).otherwise(first)
+    # the cut is one regex so that ``first`` (a lambda expression) is
+    # evaluated once; '.' is one code point, like length() and Python's len
+    cut = F.regexp_replace(first, r"(?s)\A(.{%d}).+\z" % max_length, "$1...")
     return F.coalesce(cut, F.lit("-"))
 
 
@@ -243,9 +248,11 @@ def entry_uid(*cols) -> Column:
 def extract_bullets(c) -> Column:
     """All bullet lines of a response, or 'Inconclusive Response'."""
     found = F.regexp_extract_all(F.coalesce(_c(c), F.lit("")), F.lit(BULLETS_RX), 0)
-    return F.when(F.size(found) > 0,
-                  F.concat(F.lit(SUMMARY_HEADING + "\n"), F.array_join(found, "\n"))) \
-        .otherwise(F.lit(INCONCLUSIVE_RESPONSE))
+    # every match holds a bullet, so the joined text is '' only when there
+    # is no match; nullif keeps the regex to one evaluation
+    joined = F.nullif(F.array_join(found, "\n"), F.lit(""))
+    return F.coalesce(F.concat(F.lit(SUMMARY_HEADING + "\n"), joined),
+                      F.lit(INCONCLUSIVE_RESPONSE))
 
 
 def fix_mojibake(c) -> Column:
@@ -292,8 +299,11 @@ def format_html(response, source_doc) -> Column:
     lines = F.filter(lines, lambda x: x != "")
     items = F.array_join(F.transform(lines, lambda x: F.concat(F.lit("<li>"), x, F.lit("</li>"))), "")
     title = F.coalesce(file_stem(source_doc), F.lit(""))
-    html = F.concat(F.lit("<header><h2>"), title, F.lit("</h2></header><ul>"), items, F.lit("</ul>"))
-    return F.when(F.size(lines) > 0, html).otherwise(F.lit(""))
+    # items is '' exactly when no line is left; nullif makes the whole
+    # concat NULL then, so the line pipeline is evaluated once
+    html = F.concat(F.lit("<header><h2>"), title, F.lit("</h2></header><ul>"),
+                    F.nullif(items, F.lit("")), F.lit("</ul>"))
+    return F.coalesce(html, F.lit(""))
 
 
 def sse_content(line) -> Column:

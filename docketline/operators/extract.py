@@ -66,9 +66,13 @@ def lookup_description(df: DataFrame, items: DataFrame) -> DataFrame:
 def entry_texts(df: DataFrame) -> DataFrame:
     """Text columns of an entry: cleaned original/final text, first line,
     description, word count and token estimate."""
+    # The final HTML is usually the original one: then its text is the
+    # original's (one HTML pass instead of two; a NULL pair is not equal).
+    same = F.col("entry_final_html") == F.col("entry_original_html")
     return (df
             .withColumn("entry_text", T.html_to_text("entry_original_html"))
-            .withColumn("entry_modified", T.html_to_text("entry_final_html"))
+            .withColumn("entry_modified", F.when(same, F.col("entry_text"))
+                        .otherwise(T.html_to_text("entry_final_html")))
             .withColumn("_pm", T.paragraph_marked("entry_final_html"))
             .withColumn("first_line", T.first_paragraph("_pm", marked=True))
             .withColumn("entry_description", T.entry_description("first_line"))

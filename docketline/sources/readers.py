@@ -64,12 +64,14 @@ def parse_entries(df: DataFrame) -> DataFrame:
     'None'; a missing ``entryDate`` is 0 while a null or non-numeric one is
     invalid. Rows whose ``raw`` is not a JSON object go to ``json_quarantine``.
 
-    The JSON text is parsed once into a VARIANT column; every field is read
-    from that column (Spark keeps the projection since it is referenced many
-    times), so wide entries are not re-parsed per field.
+    The JSON text is parsed once into a VARIANT column and every field is
+    read from that column. Non-objects are dropped by a generator (``inline``
+    of a one-row array, or of none) rather than by a ``where``: Catalyst
+    pushes a filter below the projection that parses, which would parse
+    every entry a second time just for the test.
     """
     parsed = df.withColumn("_v", F.try_parse_json("raw"))
-    parsed = parsed.where(F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)))
+    is_object = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
     v = F.col("_v")
 
     def s(path):
@@ -83,7 +85,7 @@ def parse_entries(df: DataFrame) -> DataFrame:
     book = s("$.courtBookId")
     if "court_book_id" in df.columns:
         book = F.coalesce(book, F.col("court_book_id"))
-    typed = parsed.select(
+    fields = F.struct(
         book.alias("court_book_id"),
         F.col("pos").cast("bigint").alias("pos"),
         s("$.id").alias("line_id"),
@@ -95,6 +97,7 @@ def parse_entries(df: DataFrame) -> DataFrame:
         s("$.entryFinal").alias("entry_final_html"),
         F.col("raw"),
     )
+    typed = parsed.select(F.inline(F.when(is_object, F.array(fields))))
     return typed.withColumn("entry_date_valid", F.col("entry_date_ms").isNotNull()) \
         .select(*ENTRY_COLUMNS)
 
