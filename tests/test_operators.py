@@ -3,6 +3,7 @@ batching, ordered scans (FIXTURES.md §3 golden cases)."""
 
 import json
 
+from conftest import SF001
 from pyspark.sql import functions as F
 
 from docketline.operators import extract, inference, joins, payload, post
@@ -140,3 +141,23 @@ def test_pandas_scorer_contains_errors(spark):
     reqs = spark.createDataFrame([("h1", "x", "p")], "request_hash string, text string, prompt string")
     out = inference.pandas_scorer(boom)(reqs).first()
     assert out.raw_response == "Error: RuntimeError"
+
+
+def test_response_status_forms_agree(spark):
+    """Status from the raw text (regex) equals status read off the
+    extracted response (heading test), on every fixture response and on
+    null, empty and error answers."""
+    from pyspark.sql import functions as F
+
+    from docketline.operators import inference
+    from docketline.sources import fixtures as fx
+    r = fx.responses(spark, SF001).select(F.col("response").alias("raw"))
+    extra = spark.createDataFrame([(None,), ("",), ("Error: timeout",), ("* a",), ("no bullet",)],
+                                  "raw string")
+    r = r.unionByName(extra)
+    for route in ("summarise", "bypass"):
+        rt = F.lit(route)
+        d = r.withColumn("resp", inference.final_response(F.col("raw")))
+        bad = d.where(~inference.response_status(F.col("raw"), rt).eqNullSafe(
+            inference.response_status(F.col("raw"), rt, F.col("resp"))))
+        assert bad.count() == 0
