@@ -156,14 +156,20 @@ def _drop_raw_blocks(c) -> Column:
 _TAG = TAG_RX
 
 
-def _text_nodes(c) -> Column:
+def _joined_nodes(c, sep: str) -> Column:
     """Text nodes between tags, each entity-decoded once (as the HTML parser
-    does) and stripped; empty nodes removed. Decoding the whole string once
-    before the split is the same as decoding each node: tags are already
-    markers, so a decoded '<' cannot start a tag."""
+    does) and stripped, empty nodes removed, joined by ``sep``.
+
+    Decoding the whole string once is the same as decoding each node: tags
+    are already markers, so a decoded '<' cannot start a tag. No array is
+    built: every boundary region (white space, one or more tag markers,
+    white space) becomes ``sep`` in one regex pass, which strips the inner
+    ends of the nodes and drops the blank ones; the outer ends are then
+    stripped. This equals split → strip each → drop empty → join.
+    """
     s = decode_entities(F.regexp_replace(_c(c), _TAG, _NODE))
-    nodes = F.transform(F.split(s, _NODE), py_strip)
-    return F.array_remove(nodes, "")
+    joined = F.regexp_replace(s, f"{WS}*(?:{_NODE}{WS}*)+", sep)
+    return py_strip(joined)
 
 
 def html_to_text(c) -> Column:
@@ -173,7 +179,7 @@ def html_to_text(c) -> Column:
     Raw blocks and tags are removed in two regex passes: one alternation of
     both measured twice as slow, as the engine then tries both branches at
     every position."""
-    text = decode_entities(F.array_join(_text_nodes(_drop_raw_blocks(c)), " "))
+    text = decode_entities(_joined_nodes(_drop_raw_blocks(c), " "))
     return F.when(_c(c).isNull() | (_c(c) == ""), F.lit("")).otherwise(text)
 
 
@@ -199,7 +205,7 @@ def first_paragraph(c, max_length: int = FIRST_LINE_MAX, marked: bool = False) -
     pieces = F.slice(F.split(s, _P_OPEN), 2, 1 << 30)
     texts = F.transform(
         pieces,
-        lambda p: F.array_join(_text_nodes(F.substring_index(p, _P_CLOSE, 1)), ""))
+        lambda p: _joined_nodes(F.substring_index(p, _P_CLOSE, 1), ""))
     first = F.try_element_at(F.filter(texts, lambda t: t != ""), F.lit(1))
     # the cut is one regex so that ``first`` (a lambda expression) is
     # evaluated once; '.' is one code point, like length() and Python's len
