@@ -166,22 +166,32 @@ def _text_nodes(c) -> Column:
     return F.array_remove(nodes, "")
 
 
-def html_to_text(c) -> Column:
+def without_raw_blocks(c) -> Column:
+    """The HTML (NULL as '') with comments, script/style bodies and
+    declarations removed: the common first pass of ``html_to_text`` and
+    ``paragraph_marked``. Project it once when both run on the same HTML."""
+    return _drop_raw_blocks(F.coalesce(_c(c), F.lit("")))
+
+
+def html_to_text(c, raw_free: Column | None = None) -> Column:
     """HTML to text: stripped text nodes joined by one blank, then entities
-    decoded a second time. Null or empty input gives ''.
+    decoded a second time. Null or empty input gives ''. ``raw_free``:
+    ``without_raw_blocks(c)`` when it is already projected.
 
     Raw blocks and tags are removed in two regex passes: one alternation of
     both measured twice as slow, as the engine then tries both branches at
     every position."""
-    text = decode_entities(F.array_join(_text_nodes(_drop_raw_blocks(c)), " "))
+    body = raw_free if raw_free is not None else _drop_raw_blocks(c)
+    text = decode_entities(F.array_join(_text_nodes(body), " "))
     return F.when(_c(c).isNull() | (_c(c) == ""), F.lit("")).otherwise(text)
 
 
-def paragraph_marked(c) -> Column:
+def paragraph_marked(c, raw_free: Column | None = None) -> Column:
     """The HTML with raw blocks removed and ``<p>`` / ``</p>`` replaced by
     single marker characters; input of ``first_paragraph`` and
-    ``paragraphs_alternate`` (project it once when both are needed)."""
-    s = _drop_raw_blocks(F.coalesce(_c(c), F.lit("")))
+    ``paragraphs_alternate`` (project it once when both are needed).
+    ``raw_free``: ``without_raw_blocks(c)`` when it is already projected."""
+    s = raw_free if raw_free is not None else without_raw_blocks(c)
     return F.regexp_replace(F.regexp_replace(s, P_OPEN_RX, _P_OPEN), P_CLOSE_RX, _P_CLOSE)
 
 

@@ -66,14 +66,19 @@ def lookup_description(df: DataFrame, items: DataFrame) -> DataFrame:
 def entry_texts(df: DataFrame) -> DataFrame:
     """Text columns of an entry: cleaned original/final text, first line,
     description, word count and token estimate."""
-    # The final HTML is usually the original one: then its text is the
-    # original's (one HTML pass instead of two; a NULL pair is not equal).
+    # The final HTML is usually the original one: then its text and its
+    # paragraph marks come from the original's one raw-block pass (a NULL
+    # pair is not equal and takes the general branch).
     same = F.col("entry_final_html") == F.col("entry_original_html")
+    raw_free = F.col("_orig_raw_free")
     return (df
-            .withColumn("entry_text", T.html_to_text("entry_original_html"))
+            .withColumn("_orig_raw_free", T.without_raw_blocks("entry_original_html"))
+            .withColumn("entry_text", T.html_to_text("entry_original_html", raw_free))
             .withColumn("entry_modified", F.when(same, F.col("entry_text"))
                         .otherwise(T.html_to_text("entry_final_html")))
-            .withColumn("_pm", T.paragraph_marked("entry_final_html"))
+            .withColumn("_pm", F.when(same, T.paragraph_marked(None, raw_free))
+                        .otherwise(T.paragraph_marked("entry_final_html")))
+            .drop("_orig_raw_free")
             .withColumn("first_line", T.first_paragraph("_pm", marked=True))
             .withColumn("entry_description", T.entry_description("first_line"))
             .withColumn("_words", T.words("entry_text"))

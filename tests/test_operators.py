@@ -161,3 +161,23 @@ def test_response_status_forms_agree(spark):
         bad = d.where(~inference.response_status(F.col("raw"), rt).eqNullSafe(
             inference.response_status(F.col("raw"), rt, F.col("resp"))))
         assert bad.count() == 0
+
+
+def test_entry_texts_shared_pass_equals_per_column(spark):
+    """entry_texts shares the raw-block pass of the original HTML with the
+    final HTML when both are equal; the result must equal the plain rules
+    applied to each column, for equal, different and NULL pairs."""
+    from docketline.functions import text as T
+    html = "<!-- c --><p>A <b>B</b></p><script>x='</p>'</script><p>tail &amp;lt;</p>"
+    pairs = [(html, html), (html, "<p>OTHER</p>"), ("<p>x</p>", None), (None, html),
+             (None, None), ("", ""), ("<p>  </p><p>UP</p>", "<p>  </p><p>UP</p>")]
+    df = spark.createDataFrame(pairs, "entry_original_html string, entry_final_html string")
+    got = extract.entry_texts(df).select(
+        "entry_text", "entry_modified", "first_line", "entry_description").collect()
+    want = df.select(
+        T.html_to_text("entry_original_html").alias("entry_text"),
+        T.html_to_text("entry_final_html").alias("entry_modified"),
+        T.first_paragraph("entry_final_html").alias("first_line"),
+        T.entry_description(T.first_paragraph("entry_final_html")).alias("entry_description"),
+    ).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
