@@ -197,9 +197,12 @@ def batch_manifest(rows: DataFrame) -> DataFrame:
     per_batch = rows.groupBy("court_book_id", "batch_no").agg(
         (F.min("index") + 1).alias("first_record"), (F.max("index") + 1).alias("last_record"),
         F.count(F.lit(1)).alias("n_rows"))
-    per_book = rows.groupBy("court_book_id").agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.ceil(F.count(F.lit(1)) / F.lit(BATCH_ROWS)).cast("bigint").alias("n_batches"))
+    # book totals from the batch table (one row per 50 rows), not from a
+    # second pass over the rows, which would read every part text again
+    total = F.sum("n_rows").cast("bigint")
+    per_book = per_batch.groupBy("court_book_id").agg(
+        total.alias("total_records"),
+        F.ceil(total / F.lit(BATCH_ROWS)).cast("bigint").alias("n_batches"))
     return per_batch.join(per_book, "court_book_id")
 
 
