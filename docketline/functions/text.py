@@ -58,6 +58,16 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _let(value: Column, body) -> Column:
+    """``body(v)`` with ``v`` bound to ``value`` evaluated once.
+
+    A test on a computed value (``when(x == '', …).otherwise(f(x))``, also
+    ``nullif``, which Spark rewrites to ``if(x = '', null, x)``) evaluates
+    ``x`` twice: Spark does not share a sub-expression between a condition
+    and one branch. A one-element ``transform`` binds it once."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
 def py_strip(c) -> Column:
     """``str.strip()``: trims every character Python calls white space."""
     return F.trim(_c(c), F.lit(PY_WHITESPACE))
@@ -259,10 +269,10 @@ def extract_bullets(c) -> Column:
     """All bullet lines of a response, or 'Inconclusive Response'."""
     found = F.regexp_extract_all(F.coalesce(_c(c), F.lit("")), F.lit(BULLETS_RX), 0)
     # every match holds a bullet, so the joined text is '' only when there
-    # is no match; nullif keeps the regex to one evaluation
-    joined = F.nullif(F.array_join(found, "\n"), F.lit(""))
-    return F.coalesce(F.concat(F.lit(SUMMARY_HEADING + "\n"), joined),
-                      F.lit(INCONCLUSIVE_RESPONSE))
+    # is no match; the regex runs once (bound by _let)
+    return _let(F.array_join(found, "\n"),
+                lambda j: F.when(j == "", F.lit(INCONCLUSIVE_RESPONSE))
+                .otherwise(F.concat(F.lit(SUMMARY_HEADING + "\n"), j)))
 
 
 def fix_mojibake(c) -> Column:
@@ -309,11 +319,9 @@ def format_html(response, source_doc) -> Column:
     lines = F.filter(lines, lambda x: x != "")
     items = F.array_join(F.transform(lines, lambda x: F.concat(F.lit("<li>"), x, F.lit("</li>"))), "")
     title = F.coalesce(file_stem(source_doc), F.lit(""))
-    # items is '' exactly when no line is left; nullif makes the whole
-    # concat NULL then, so the line pipeline is evaluated once
-    html = F.concat(F.lit("<header><h2>"), title, F.lit("</h2></header><ul>"),
-                    F.nullif(items, F.lit("")), F.lit("</ul>"))
-    return F.coalesce(html, F.lit(""))
+    # items is '' exactly when no line is left; the line pipeline runs once
+    return _let(items, lambda it: F.when(it == "", F.lit("")).otherwise(
+        F.concat(F.lit("<header><h2>"), title, F.lit("</h2></header><ul>"), it, F.lit("</ul>"))))
 
 
 def sse_content(line) -> Column:

@@ -55,3 +55,18 @@ def test_filter_pushed_to_scan(spark):
 def test_column_pruning(spark):
     p = plan(QUERIES["token_estimate"](spark, SF01))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in p
+
+
+def test_entries_parsed_once(spark):
+    """The JSON object test must not be pushed below the parse as a second
+    parse (a ``where`` on the parsed VARIANT would be)."""
+    from docketline.sources import fixtures as fx
+    from docketline.sources.readers import parse_entries
+    p = plan(parse_entries(fx.entry_json(spark, SF01)))
+    assert p.count("parseJson") == 1, p
+
+
+def test_part_table_scans_each_response_once(spark):
+    """Status and bullets of a response come from one regexp_extract_all."""
+    p = plan(QUERIES["part_table"](spark, SF01))
+    assert p.count("regexp_extract_all") == 1, p
