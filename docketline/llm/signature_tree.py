@@ -54,9 +54,9 @@ from docketline.llm.components import components
 
 SHINGLE = 5
 PERCENT = 75
-PART_TOKENS = 4_000_000
+PART_TOKENS = 2_000_000
 MIN_PARTS = 24
-BUFFER_TOKENS = 3_000_000
+BUFFER_TOKENS = 1_000_000
 SKETCH_BITS = 20
 CELL = 512
 SMALL_BUCKET = 48
@@ -72,7 +72,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -122,7 +122,7 @@ def _postings(parts: int):
 
         def flush() -> pa.RecordBatch:
             tok = np.concatenate(sets)
-            doc = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            doc = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
             c = np.array(cls, np.int64)
             part = ((tok >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
             order = np.argsort(part, kind="stable")
