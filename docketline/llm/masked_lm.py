@@ -58,7 +58,7 @@ class TokenIds(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = 1 + xxhash.xxh64_intdigest(word) % ((1 << TOKEN_BITS) - 1)
         return h
@@ -87,6 +87,18 @@ def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return flat[at], context, doc
 
 
+def blocks(texts: list[bytes], tokens: int = 400_000) -> Iterator[tuple[int, int]]:
+    """Index ranges of texts with about ``tokens`` tokens each."""
+    start = held = 0
+    for i, t in enumerate(texts):
+        held += len(t) // 2
+        if held >= tokens:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
 class Network:
     """softmax(tanh(sum of a row for each context place + b) W + c)."""
 
@@ -187,14 +199,16 @@ def train(tokens: DataFrame, cls: np.ndarray, class_mass: np.ndarray, rounds: in
             seen = [np.full(s, 1e-4, np.float32) for s in Network.SHAPES]
             done = 0
             for b in batches:
-                token, context, doc = windows(b.column(0).to_pylist())
-                # a hash of place and neighbours picks this round's positions
-                pick = (np.arange(len(token)) * 2654435761 + context.sum(axis=1) * 40503 + r * 97) >> 7
-                at = np.flatnonzero(pick % mask == r % mask)
-                for i in range(0, len(at), BATCH):
-                    x = at[i:i + BATCH]
-                    own.learn(context[x], classes[token[x]], seen)
-                done += len(at)
+                texts = b.column(0).to_pylist()
+                for lo, hi in blocks(texts):
+                    token, context, _ = windows(texts[lo:hi])
+                    # a hash of the neighbours picks this round's positions
+                    pick = (context @ np.array([2971, 40503, 9973, 60493], np.int64)[:context.shape[1]] + token * 7919) >> 5
+                    at = np.flatnonzero(pick % mask == r % mask)
+                    for i in range(0, len(at), BATCH):
+                        x = at[i:i + BATCH]
+                        own.learn(context[x], classes[token[x]], seen)
+                    done += len(at)
             if done:
                 yield _slices(np.concatenate((own.weights.astype(np.float64) * done, [float(done)])))
 
@@ -219,15 +233,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
         weights, cls, inside, prior = model.value
         own = Network(weights)
         for b in batches:
-            token, context, doc = windows(b.column(1).to_pylist())
-            logp = np.zeros(len(token))
-            for i in range(0, len(token), BLOCK):
-                t = token[i:i + BLOCK]
-                z = own.forward(context[i:i + BLOCK])[2]
-                logp[i:i + BLOCK] = z[np.arange(len(t)), cls[t]] + inside[t]
-            n = np.bincount(doc, minlength=b.num_rows)
-            total = np.bincount(doc, logp, b.num_rows)
-            single = np.bincount(doc, prior[cls[token]] + inside[token], b.num_rows)
+            texts, parts = b.column(1).to_pylist(), []
+            for lo, hi in blocks(texts):
+                token, context, doc = windows(texts[lo:hi])
+                logp = np.zeros(len(token))
+                for i in range(0, len(token), BLOCK):
+                    t = token[i:i + BLOCK]
+                    z = own.forward(context[i:i + BLOCK])[2]
+                    logp[i:i + BLOCK] = z[np.arange(len(t)), cls[t]] + inside[t]
+                parts.append([np.bincount(doc, x, hi - lo) for x in (None, logp, prior[cls[token]] + inside[token])])
+            n, total, single = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0),) * 3
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(total), pa.array(total / np.maximum(n, 1), mask=n == 0),
                                               pa.array(single)],
                                              names=["id", "n_tokens", "log_likelihood", "mean_log_prob", "unigram_log_likelihood"])
