@@ -60,7 +60,7 @@ BUFFER_TOKENS = 1_000_000
 SKETCH_BITS = 20
 CELL = 512
 SMALL_BUCKET = 48
-LEAF = 128
+LEAF = 512
 BLOOM_BITS = 1 << 23
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -384,18 +384,15 @@ def cell_links(side: list[int], cls: list[int], comp: list[int], sets: list[np.n
 
 def _cell(table: pa.Table) -> pa.Table:
     side, cls, comp = (table.column(c).to_pylist() for c in ("side", "cls", "comp"))
-    k2, k3 = table.column("k2")[0].as_py(), table.column("k3")[0].as_py()
-    if k3 >= 0 and k2 != k3 and len(set(side)) < 2:  # of two leaves, one is empty
-        return table.select(["cls", "comp"]).rename_columns(["a", "b"]).slice(0, 0)
     found = cell_links(side, cls, comp, [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()])
     return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
 
 def _join_cells(cells: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-    """cells (k1, k2, k3, side, cls, comp) -> links (a, b)."""
+    """cells (k1, k2, side, cls, comp) -> links (a, b)."""
     rows = cells.join(sets.select(F.col("cls").alias("s_cls"), "tokens"), F.col("cls") == F.col("s_cls"))
-    rows = rows.select("k1", "k2", "k3", "side", "cls", "comp", "tokens")
-    return materialize(rows.groupBy("k1", "k2", "k3").applyInArrow(_cell, "a long, b long"), name)
+    rows = rows.select("k1", "k2", "side", "cls", "comp", "tokens")
+    return materialize(rows.groupBy("k1", "k2").applyInArrow(_cell, "a long, b long"), name)
 
 
 # -- the join
@@ -408,9 +405,9 @@ def _near_links(postings: DataFrame, sets: DataFrame) -> DataFrame:
     pairs = materialize(pairs, "centres")
     cuts = pairs.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / F.lit(CELL)).cast("int").alias("cuts")).select(F.col("centre").alias("c"), "cuts")
     members = (pairs.join(cuts, F.col("centre") == F.col("c"))
-               .select(F.col("centre").alias("k1"), F.pmod(F.xxhash64("cls"), F.col("cuts")).cast("int").alias("k2"), "cls"))
-    heads = cuts.select(F.col("c").alias("k1"), F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("k2"), F.col("c").alias("cls"))
-    cells = members.unionByName(heads).withColumns({"k3": F.lit(-2), "side": F.lit(0), "comp": F.col("cls")})
+               .select(F.col("centre").alias("k1"), F.pmod(F.xxhash64("cls"), F.col("cuts")).cast("string").alias("k2"), "cls"))
+    heads = cuts.select(F.col("c").alias("k1"), F.explode(F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda i: i.cast("string"))).alias("k2"), F.col("c").alias("cls"))
+    cells = members.unionByName(heads).withColumns({"side": F.lit(0), "comp": F.col("cls")})
     return _join_cells(cells, sets, "near-links")
 
 
@@ -428,19 +425,38 @@ def _other_links(postings: DataFrame, sets: DataFrame, roots: DataFrame) -> Data
     near = (100 * lo >= PERCENT * hi) & ((100 + PERCENT) * left >= PERCENT * (F.col("x_n") + F.col("y_n")))
     pairs = (a.join(b, (F.col("token") == F.col("token2")) & (F.col("x_cls") < F.col("y_cls")) & (F.col("x_comp") != F.col("y_comp")) & near)
              .select("x_cls", "x_comp", "y_cls", "y_comp").distinct())
-    pairs = pairs.withColumn("k2", F.pmod(F.xxhash64("y_cls"), F.lit(16)).cast("int"))
-    key = [F.col("x_cls").alias("k1"), "k2", F.lit(-1).alias("k3")]
+    pairs = pairs.withColumn("k2", F.concat(F.lit("pairs "), F.pmod(F.xxhash64("y_cls"), F.lit(16)).cast("string")))
+    key = [F.col("x_cls").alias("k1"), "k2"]
     right = pairs.select(*key, F.lit(1).alias("side"), F.col("y_cls").alias("cls"), F.col("y_comp").alias("comp"))
     head = pairs.select(*key, F.lit(0).alias("side"), F.col("x_cls").alias("cls"), F.col("x_comp").alias("comp")).distinct()
-    many = p.where(F.col("m") > SMALL_BUCKET)
-    leaves = F.ceil(F.col("m") / F.lit(LEAF)).cast("int")
-    own = F.pmod(F.xxhash64("cls"), leaves).cast("int")
-    split = many.select("token", "cls", "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), leaves - 1)).alias("other"))
-    cells = split.select(F.col("token").alias("k1"), F.least("own", "other").alias("k2"), F.greatest("own", "other").alias("k3"),
-                         (F.col("own") > F.col("other")).cast("int").alias("side"), "cls", "comp")
+    cells = _leaf_cells(p.where(F.col("m") > SMALL_BUCKET))
     return _join_cells(right.unionByName(head).unionByName(cells), sets, "other-links")
 
 
+def _leaf_cells(many: DataFrame) -> DataFrame:
+    """The classes of a frequent shingle, cut into leaves and joined leaf by
+    leaf. A component with more than a leaf's classes has leaves of its own,
+    which are joined with all leaves but each other, as it is joined already."""
+    own = many.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
+    rest = own.where(F.col("c") <= LEAF).groupBy("token").agg(F.sum("c").alias("rest")).withColumnRenamed("token", "r_token")
+    own = own.join(rest, F.col("token") == F.col("r_token"), "left").select(F.col("token").alias("o_token"), F.col("comp").alias("o_comp"), "c", "rest")
+    big = F.col("c") > LEAF
+    cut = F.ceil(F.when(big, F.col("c")).otherwise(F.col("rest")) / F.lit(LEAF))
+    spot = F.pmod(F.when(big, F.xxhash64("cls")).otherwise(F.xxhash64("comp")), cut).cast("string")
+    m = many.join(own, (F.col("token") == F.col("o_token")) & (F.col("comp") == F.col("o_comp")))
+    m = m.select("token", "cls", "comp", F.when(big, F.col("comp").cast("string")).otherwise("").alias("group"), spot.alias("spot"))
+    m = materialize(m.withColumn("leaf", F.concat_ws("/", "group", "spot")), "leaves")
+    leaves = m.select("token", "leaf", "group").distinct()
+    x, y = (leaves.select(*[F.col(c).alias(f"{s}_{c}") for c in ("token", "leaf", "group")]) for s in "xy")
+    apart = (F.col("x_group") != F.col("y_group")) | (F.col("x_group") == "")
+    both = x.join(y, (F.col("x_token") == F.col("y_token")) & (F.col("x_leaf") <= F.col("y_leaf")) & apart)
+    both = both.select(F.col("x_token").alias("k1"), F.concat_ws("|", "x_leaf", "y_leaf").alias("k2"), F.explode(F.when(
+        F.col("x_leaf") == F.col("y_leaf"), F.array(F.struct(F.lit(0).alias("side"), F.col("x_leaf").alias("l")))).otherwise(
+        F.array(F.struct(F.lit(0).alias("side"), F.col("x_leaf").alias("l")), F.struct(F.lit(1).alias("side"), F.col("y_leaf").alias("l"))))).alias("s"))
+    both = both.select("k1", "k2", "s.side", F.col("s.l").alias("l"))
+    return m.join(both, (F.col("token") == F.col("k1")) & (F.col("leaf") == F.col("l"))).select("k1", "k2", "side", "cls", "comp")
+
+
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n, component): each row's set size and the least id that links
     reach; one row a row of ``docs``."""
