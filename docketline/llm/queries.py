@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docketline.llm import (
     decontaminate, line_frequency, masked_lm, packing, pii_bootstrap, repetition, rule_ensemble, signature_tree, url_filter, warc)
 from docketline.llm.common import prepare, read_table
+from docketline.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,4 +139,4 @@ QUERIES: dict[str, Query] = {
     "op10_pii_bootstrap": op10_pii_bootstrap,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES", "tokenizer_file"]
