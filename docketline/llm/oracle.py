@@ -10,9 +10,9 @@ WARC = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
 g AS (SELECT h, max(page_id) AS last_id FROM p GROUP BY h)
 SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
-  list_aggregate(list_transform(range(0, 8), g -> list_aggregate(list_transform([32768, 1024, 32, 1], k ->
-    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(p.h, (g * 5 + 1)::BIGINT, 5))::INTEGER // k) % 32 + 1)::BIGINT, 1)),
-    'string_agg', '')), 'string_agg', '') AS payload_digest,
+  list_aggregate([list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(p.h, (g * 5 + 1)::BIGINT, 5))::INTEGER // k) % 32 + 1)::BIGINT, 1) for k in [32768, 1024, 32, 1]],
+    'string_agg', '') for g in range(0, 8)], 'string_agg', '') AS payload_digest,
   CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = last_id THEN NULL ELSE last_id END AS refers_to
 FROM p JOIN g ON p.h = g.h
@@ -21,7 +21,7 @@ FROM p JOIN g ON p.h = g.h
 DECONTAMINATE = f"""
 WITH b AS (SELECT item_id::VARCHAR AS item, {_BENCH_WORDS} AS w FROM benchmark),
 bw AS (SELECT DISTINCT item, least(len(w), 10) AS n,
-         unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), i -> array_to_string(w[i:i + 9], ' '))) AS win
+         unnest([array_to_string(w[i:i + 9], ' ') for i in range(1, greatest(len(w) - 9, 1) + 1)]) AS win
        FROM b WHERE len(w) > 0),
 d AS (SELECT row_number() OVER () AS rid, doc_id, {_BENCH_WORDS} AS w FROM documents),
 at_ AS (SELECT rid, s.n, unnest(range(1, len(w) - s.n + 2)) AS i, w FROM d, (SELECT DISTINCT n FROM bw) s WHERE len(w) >= s.n),
@@ -51,12 +51,12 @@ FROM d LEFT JOIN a ON d.rid = a.rid
 
 SIGNATURE_TREE = f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_JOIN_WORDS} AS w FROM documents),
-s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
-        i -> array_to_string(w[i:i + 4], ' '))) END AS sh FROM d),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct([array_to_string(w[i:i + 4], ' ')
+        for i in range(1, greatest(len(w) - 4, 1) + 1)]) END AS sh FROM d),
 e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
-pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb, count(*) AS both
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb, count(*) AS shared
           FROM e x JOIN e y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
-link AS (SELECT a, b FROM pairs WHERE 100 * both >= 75 * (na + nb - both)),
+link AS (SELECT a, b FROM pairs WHERE 100 * shared >= 75 * (na + nb - shared)),
 ways AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a)
 SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, min(reach.b) AS component_id FROM s JOIN reach ON s.doc_id = reach.a GROUP BY s.doc_id, sh
