@@ -241,7 +241,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
                     t = token[i:i + BLOCK]
                     z = own.forward(context[i:i + BLOCK])[2]
                     logp[i:i + BLOCK] = z[np.arange(len(t)), cls[t]] + inside[t]
-                parts.append([np.bincount(doc, x, hi - lo) for x in (None, logp, prior[cls[token]] + inside[token])])
+                # without a token bincount gives integers
+                parts.append([np.bincount(doc, x, hi - lo).astype(kind) for x, kind in (
+                    (None, np.int64), (logp, float), (prior[cls[token]] + inside[token], float))])
             n, total, single = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0),) * 3
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(total), pa.array(total / np.maximum(n, 1), mask=n == 0),
                                               pa.array(single)],

@@ -1,0 +1,419 @@
+"""Operators against plain statements of what they return."""
+
+import gzip
+import io
+import itertools
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import SF001, SF01
+from pyspark.sql import functions as F
+
+from docketline.llm import bin_completion, components, decontaminate, masked_lm, packing, pii_bootstrap, repetition, rule_ensemble, signature_tree, url_filter, warc
+from docketline.llm.queries import QUERIES, tokenizer_file
+
+
+# -- 1
+
+def test_normalise_rewrites_each_record(tmp_path):
+    records = [warc.record_bytes(f"urn:page:{i}", f"http://x/{i}", b"p" * i * 1000, None) for i in range(30)]
+    whole = tmp_path / "a.warc.gz"
+    whole.write_bytes(gzip.compress(b"".join(records)))
+    rows = list(warc.normalise_file(f"file://{whole}", f"file://{tmp_path}/b.warc.gz"))
+    data = (tmp_path / "b.warc.gz").read_bytes()
+    assert [gzip.decompress(data[r[1]:r[1] + r[2]]) for r in rows] == records
+    assert gzip.decompress(data) == b"".join(records)  # still one valid file
+    assert len((tmp_path / "b.warc.gz.idx").read_text().splitlines()) == 30
+
+
+@pytest.mark.parametrize("cut", [0.3, 0.6, 0.95])
+def test_normalise_keeps_whole_records_of_a_cut_stream(tmp_path, cut):
+    rng = random.Random(1)
+    records = [warc.record_bytes(f"urn:page:{i}", None, rng.randbytes(3000), None) for i in range(20)]
+    data = gzip.compress(b"".join(records))
+    (tmp_path / "a.gz").write_bytes(data[:int(len(data) * cut)])
+    rows = list(warc.normalise_file(f"file://{tmp_path}/a.gz", f"file://{tmp_path}/b.gz"))
+    assert rows[-1][3] == "error" and 0 < len(rows) - 1 < 20
+    out = (tmp_path / "b.gz").read_bytes()
+    assert [gzip.decompress(out[r[1]:r[1] + r[2]]) for r in rows[:-1]] == records[:len(rows) - 1]
+
+
+def test_normalise_takes_members_padding_and_junk(tmp_path):
+    records = [warc.record_bytes(f"r{i}", None, b"x", None) for i in range(5)]
+    (tmp_path / "m.gz").write_bytes(b"".join(map(gzip.compress, records)) + b"\0" * 100)
+    assert [r[4] for r in warc.normalise_file(f"file://{tmp_path}/m.gz", f"file://{tmp_path}/n.gz")] == [f"r{i}" for i in range(5)]
+    (tmp_path / "junk.gz").write_bytes(b"not gzip at all")
+    assert [r[3] for r in warc.normalise_file(f"file://{tmp_path}/junk.gz", f"file://{tmp_path}/o.gz")] == ["error"]
+    (tmp_path / "head.gz").write_bytes(gzip.compress(records[0] + b"no header\r\n\r\n"))
+    assert [r[3] for r in warc.normalise_file(f"file://{tmp_path}/head.gz", f"file://{tmp_path}/p.gz")] == ["response", "error"]
+
+
+# -- 2
+
+def test_quality_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    scored = QUERIES["op2_quality_rules"](spark, sf)
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = scored.where("held_out").join(labels, "doc_id").select("predicted", "quality", "score").collect()
+    assert len(rows) > 500
+    assert np.mean([r["predicted"] == r["quality"] for r in rows]) > 0.95
+    assert np.mean([r["predicted"] for r in rows if r["quality"] == 1]) > 0.98
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_compiled_rules_hold_as_stated(spark):
+    rule = ((0, True, 10.0), (3, False, 0.5))
+    df = spark.createDataFrame([(5.0, 0.9), (5.0, 0.5), (11.0, 0.9)], "n_words double, upper_share double")
+    got = [r[0] for r in df.select(rule_ensemble.holds(rule, F.col)).collect()]
+    assert got == [1.0, 0.0, 0.0]
+    one = rule_ensemble.Ensemble([(rule, 2.0)], -1.0)
+    assert [round(r[0], 6) for r in df.select(one.score(F.col)).collect()] == [round(1 / (1 + np.exp(-x)), 6) for x in (1, -1, -1)]
+
+
+def test_labels_of_one_kind(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    y = spark.read.parquet(f"{SF001}/labels.parquet")
+    assert rule_ensemble.score_table(docs, y.where("quality = 1")).where("score < 0.99").count() == 0
+    assert {r[0] for r in rule_ensemble.score_table(docs, y.limit(0)).select("score").distinct().collect()} == {0.5}
+
+
+# -- 3
+
+def test_probabilities_sum_to_one_and_learn():
+    rng = np.random.default_rng(0)
+    counts = rng.integers(0, 50, 1 << masked_lm.TOKEN_BITS)
+    cls, inside, mass = masked_lm.classes_of(counts)
+    assert np.allclose(np.bincount(cls, np.exp(inside), masked_lm.CLASSES)[mass > 1e-6], 1)
+    net = masked_lm.Network.start(mass)
+    context = rng.integers(0, 1 << masked_lm.CONTEXT_BITS, (512, 2 * masked_lm.SIDE)).astype(np.int32)
+    assert np.allclose(np.exp(net.forward(context)[2]).sum(axis=1), 1, atol=1e-4)
+    target = context[:, 1] % masked_lm.CLASSES  # the token to the left decides
+    seen = [np.full(s, 1e-4, np.float32) for s in net.SHAPES]
+    before = net.forward(context)[2][np.arange(512), target].mean()
+    for _ in range(60):
+        net.learn(context, target, seen)
+    assert net.forward(context)[2][np.arange(512), target].mean() > before + 2
+
+
+def test_gradient():
+    rng = np.random.default_rng(3)
+    net = masked_lm.Network.start(np.ones(masked_lm.CLASSES))
+    net.parts[2][:] = rng.normal(0, 0.5, net.parts[2].shape)
+    context, target = rng.integers(0, 9, (7, 4)).astype(np.int32), rng.integers(0, 9, 7)
+
+    def loss(n):
+        return -n.forward(context)[2][np.arange(7), target].mean()
+
+    seen = [np.full(s, 1e30, np.float32) for s in net.SHAPES]  # steps of RATE * g / 1e15
+    old, eps = net.weights.copy(), 1e-2
+    net.learn(context, target, seen)
+    wide = masked_lm.Network(old.astype(np.float64))
+    at = int(np.prod(net.SHAPES[0])) + masked_lm.HIDDEN + 5  # a weight of the last layer
+    up, down = (masked_lm.Network(wide.weights.copy()) for _ in range(2))
+    up.weights[at] += eps
+    down.weights[at] -= eps
+    numeric = (loss(up) - loss(down)) / (2 * eps)
+    h, z = wide.forward(context)[1:]
+    d = np.exp(z)
+    d[np.arange(7), target] -= 1
+    assert np.isclose((h.T @ d / 7).ravel()[5], numeric, atol=1e-4)
+
+
+def test_context_helps_on_a_patterned_corpus(spark):
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(20)}" for _ in range(400 * 60)]
+    texts = [" ".join(f"{w} {w}x of" for w in words[i::400]) for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    r = masked_lm.score(docs, mask=2).selectExpr("sum(log_likelihood)", "sum(unigram_log_likelihood)").first()
+    assert r[0] > 0.8 * r[1]
+
+
+# -- 4
+
+def test_decontaminate_in_slices(spark):
+    docs, items = spark.read.parquet(f"{SF01}/documents.parquet"), spark.read.parquet(f"{SF01}/benchmark.parquet")
+    cols = ["doc_id", "scan.n_words", "scan.n_hit", "scan.items", "scan.spans", "scan.clean"]
+    one = sorted(map(str, decontaminate.scan(docs, items).select(*cols).collect()))
+    more = sorted(map(str, decontaminate.scan(docs, items, max_windows=300).select(*cols).collect()))
+    assert one == more
+
+
+def test_hash_hits_are_verified():
+    index = decontaminate.window_index([("1", "a b c"), ("2", "b c")])
+    hit, items = decontaminate.scan_words(b"x a b c a b".split(), index)
+    assert hit.tolist() == [False, True, True, True, False, False] and items == {"1", "2"}
+    index["hashes"][3] = np.sort(np.concatenate((index["hashes"][3], decontaminate._rolling(np.array([1, 1, 1], np.uint64), 3))))
+    assert decontaminate.scan_words(b"a a a".split(), index)[1] == set()
+
+
+# -- 6
+
+def brute_measure(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    seen, dup = set(), 0
+    for x in lines:
+        dup += x in seen
+        seen.add(x)
+    runs = Counter(tuple(words[i:i + 5]) for i in range(len(words) - 4))
+    hit = {i + k for i in range(len(words) - 4) if runs[tuple(words[i:i + 5])] > 1 for k in range(5)}
+    shares = []
+    for n in repetition.NGRAM_LIMITS:
+        had, cover = set(), set()
+        for i in range(len(words) - n + 1):
+            run = tuple(words[i:i + n])
+            if run in had:
+                cover |= set(range(i, i + n))
+            had.add(run)
+        shares.append(sum(len(words[i]) for i in cover) / max(1, sum(map(len, words))))
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(hit)), shares
+
+
+def test_repetition_measures(spark):
+    rng = random.Random(2)
+    texts = [None, "", " \x0b\n", "a", "é # x " * 30, "x\u2028y z\n\nx\u2028y z", "x " * 5000]
+    texts += ["".join(rng.choice(["a ", "b ", "é\n", "cc ", "\t"]) for _ in range(rng.randrange(120))) for _ in range(300)]
+    for t in texts:
+        got = repetition.measure(None if t is None else t.encode())
+        base, shares = brute_measure(t)
+        assert got[:5] == base and np.allclose(got[7:], shares), t
+
+
+def test_equal_hashes_of_different_runs(monkeypatch):
+    ids = np.array([1, 2, 3, 1, 2, 3, 9], np.uint64)
+    want = [x.tolist() for x in repetition.repeats(ids, 2)]
+    real = np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, **k: (a.__setitem__(slice(None), 0), real(a, **k))[1])  # all hashes equal
+    got = [x.tolist() for x in repetition.repeats(ids, 2)]
+    assert [sorted(x) for x in got] == [sorted(x) for x in want]
+
+
+def test_clean_documents_are_kept(spark):
+    kept = QUERIES["op6_repetition"](spark, SF01)
+    y = spark.read.parquet(f"{SF01}/labels.parquet").where("quality = 1")
+    r = kept.join(y, "doc_id").where("not base_failed").selectExpr("avg(cast(kept as int))").first()[0]
+    assert r > 0.99
+
+
+# -- 7
+
+def test_url_rules(spark):
+    urls = [r["url"] for r in spark.read.parquet(f"{SF01}/pages.parquet").collect()]
+    urls += ["HTTP://A.Example.NET/en/x", "http://net/", "http://xnet/", "http://a.org/fr", "q?x=://h.net/z", "a://b.net/\n/x?y#z", "://example.com/de/"]
+    got = {r["url"]: r["judged"] for r in url_filter.judge(spark.createDataFrame([(u,) for u in urls], "url string")).collect()}
+    for u in urls:
+        rest = u.partition("://")[2]
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host):])[0]
+        host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+        fits = [(h + p, v) for h, p, v in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        rule, verdict = max(fits, key=lambda f: len(f[0]), default=(None, None))
+        assert (got[u]["host"], got[u]["path"], got[u]["rule"]) == (host, path, rule)
+        assert got[u]["verdict"] == verdict if verdict else got[u]["verdict"] in ("allow", "block")
+
+
+def test_url_model_learns():
+    rng = random.Random(1)
+    rows = [(f"{rng.choice(['spam', 'good'])}{rng.randrange(999)}.example", f"/{rng.randrange(999)}", 0) for _ in range(600)]
+    rows = [(h, p, int(h.startswith("spam"))) for h, p, _ in rows]
+    w, b = url_filter.fit(rows[:400])
+    right = [(w[(x := url_filter.features(h, p))].sum() / len(x) ** 0.5 + b > 0) == y for h, p, y in rows[400:]]
+    assert np.mean(right) > 0.98
+
+
+# -- 8
+
+def test_bin_completion_is_best_on_small_cases():
+    rng = random.Random(4)
+    for _ in range(60):
+        items = [rng.randrange(1, 21) for _ in range(rng.randrange(1, 9))]
+        got = bin_completion.solve(Counter(items), 20, max_nodes=100_000, width=50)
+        assert Counter(x for f, t in got for n, c in f for x in [n] * c * t) == Counter(items)
+        assert all(sum(n * c for n, c in f) <= 20 for f, _ in got)
+
+        def best(left):
+            if not left:
+                return 0
+            first, rest = left[0], left[1:]
+            subsets = (s for k in range(len(rest) + 1) for s in itertools.combinations(range(len(rest)), k) if first + sum(rest[i] for i in s) <= 20)
+            return 1 + min(best([x for i, x in enumerate(rest) if i not in s]) for s in subsets)
+        assert sum(t for _, t in got) == best(sorted(items, reverse=True)), items
+
+
+def test_bin_completion_beats_best_fit():
+    items = {8: 2, 7: 2, 5: 2}  # twice 8 + 7 + 5; best-fit decreasing begins with 8 + 8
+    many = {n: c * 500 for n, c in items.items()}
+    assert sum(t for _, t in bin_completion.best_fit(items, 20)) == 3
+    assert sum(t for _, t in bin_completion.solve(items, 20)) == 2
+    assert sum(t for _, t in bin_completion.best_fit(many, 20)) == 1125
+    assert sum(t for _, t in bin_completion.solve(many, 20)) == 1000
+
+
+def test_packing_places_every_token(spark):
+    from tokenizers import Tokenizer
+    import public_tokenizers
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
+    extra = [(10**6, None), (10**6 + 1, ""), (10**6 + 2, " " * 3_000_000), (10**6 + 3, "a'll \u3000\n\n  é漢字🙂" * 50), (10**6 + 4, "\n\t  x" * 900)]
+    docs = docs.union(spark.createDataFrame(extra, "doc_id long, text string"))
+    rows = packing.pack(docs, tokenizer_file()).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["doc_id"], []).append(r)
+    for r in docs.collect():
+        ids = np.array([*tok.encode(r["text"] or "", add_special_tokens=False).ids, 2], "<u4")
+        parts = sorted(by.pop(r["doc_id"]), key=lambda p: p["piece"])
+        assert [p["start"] for p in parts] == np.cumsum([0, *[p["length"] for p in parts]])[:-1].tolist()
+        assert sum(p["length"] for p in parts) == len(ids)
+        assert len(parts) == -(-len(ids) // 1024) and all(p["length"] == 1024 for p in parts[1:])
+        assert [zlib.crc32(ids[p["start"]:p["start"] + p["length"]].tobytes()) for p in parts] == [p["ids_crc32"] for p in parts]
+    assert not by
+    bins = {}
+    for r in rows:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for b in bins.values():
+        at = 0
+        for o, n in sorted(b):
+            assert o == at
+            at += n
+        assert at <= 1024
+    assert len(bins) <= 1.002 * bin_completion.lower_bound(Counter(r["length"] for r in rows), 1024)
+
+
+def test_sequences_hold_the_ids(spark):
+    docs = spark.createDataFrame([(i, "some words " * (i % 40)) for i in range(200)], "doc_id long, text string")
+    seqs = [np.frombuffer(bytes(r["ids"]), "<u4") for r in packing.sequences(docs, tokenizer_file()).collect()]
+    assert sum(map(len, seqs)) == sum(r["length"] for r in packing.pack(docs, tokenizer_file()).collect())
+    assert sum((s == 2).sum() for s in seqs) == 200 and max(map(len, seqs)) <= 1024
+
+
+# -- 9
+
+def brute_components(texts):
+    sets = []
+    for t in texts:
+        w = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        w = re.findall(r"[^\x20\x09-\x0D]+", w)
+        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    return [(i, len(s), find(i)) for i, s in enumerate(sets)]
+
+
+@pytest.mark.parametrize("small,leaf,cell", [(48, 512, 512), (1, 3, 4), (4, 8, 16)])
+def test_components_match_brute_force(spark, monkeypatch, small, leaf, cell):
+    rng = random.Random(small)
+    monkeypatch.setattr(signature_tree, "SMALL_BUCKET", small)
+    monkeypatch.setattr(signature_tree, "LEAF", leaf)
+    monkeypatch.setattr(signature_tree, "CELL", cell)
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [None, "", "one", "one", "One two", "a b c d e", "A B c d e", " ".join(["z"] * 30)]
+    for g in range(12):
+        base = [f"g{g}w{i}" for i in range(rng.choice([12, 40, 90]))]
+        for _ in range(rng.choice([1, 2, 9])):
+            t = list(base)
+            for _ in range(rng.randrange(3)):
+                t[rng.randrange(len(t))] = f"n{rng.randrange(10**6)}"
+            texts.append(" ".join(t))
+    for _ in range(25):  # one passage in many texts, some of them little else
+        own = [f"o{rng.randrange(10**6)}" for _ in range(rng.choice([2, 6, 10, 12, 40]))]
+        texts.append(" ".join([*own, passage]))
+    for _ in range(30):  # chains of near copies
+        t = texts[rng.randrange(8, len(texts))].split()
+        t[rng.randrange(len(t))] = f"m{rng.randrange(10**6)}"
+        texts.append(" ".join(t))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    got = sorted((r["id"], r["n"], r["component"]) for r in signature_tree.link_components(docs).collect())
+    assert got == brute_components(texts)
+
+
+def test_tree_descent_misses_no_link():
+    rng = np.random.default_rng(1)
+    base = [rng.integers(0, 2**63, n, dtype=np.uint64) for n in (40, 200, 600)]
+    sets = []
+    for _ in range(120):
+        b = base[rng.integers(3)].copy()
+        at = rng.random(len(b)) < rng.choice([0.02, 0.1, 0.2])
+        b[at] = rng.integers(0, 2**63, at.sum(), dtype=np.uint64)
+        sets.append(np.unique(b))
+    sets.sort(key=len)
+    for bits in (256, 4096):
+        t = signature_tree.Tree(sets, bits)
+        found = {p for p in signature_tree.candidate_pairs(t, t, True)}
+        for a, b in itertools.combinations(range(len(sets)), 2):
+            if signature_tree.links(sets[a], sets[b]):
+                assert (a, b) in found
+        half = signature_tree.Tree(sets[:50], bits), signature_tree.Tree(sets[50:], bits)
+        across = set(signature_tree.candidate_pairs(*half, False))
+        assert {(a, b - 50) for a, b in itertools.product(range(50), range(50, 120)) if signature_tree.links(sets[a], sets[b])} <= across
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1300)] + [(5000, 5001), (5001, 5000), (7, 7)]
+    got = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(r["root"], set()).add(r["node"])
+    assert sorted(map(len, groups.values())) == [2, 300, 301]
+
+
+# -- 10
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def brute_spans(t):
+    luhn = lambda s: sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(s))) % 10 == 0
+    digits = lambda m: re.sub(r"[^0-9]", "", m[0])
+    out = [("email", *m.span()) for m in EMAIL.finditer(t)]
+    out += [("ip", *m.span()) for m in IP.finditer(t) if all(int(p) <= 255 for p in m[0].split("."))]
+    out += [("card", *m.span()) for m in CARD.finditer(t) if 13 <= len(digits(m)) <= 19 and luhn(digits(m))]
+    return out + [("phone", *m.span()) for m in PHONE.finditer(t) if 9 <= len(digits(m)) <= 15]
+
+
+def test_base_spans(spark):
+    rng = random.Random(8)
+    pieces = ["a", "@", ".", "1", "22", "255", "300", "-", " ", "+", "(", ")", "é", "4111 1111 1111 1111", "x@y.z", "+1 (555) 123-4567", "1.2.3.4", "%", "0001", "\n"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(40))) for _ in range(4000)]
+    texts += [r["text"] or "" for r in spark.read.parquet(f"{SF01}/documents.parquet").select("text").collect()]
+    for t in texts:
+        assert pii_bootstrap.base_spans(t) == brute_spans(t), t
+
+
+def test_long_runs_take_linear_time():
+    for t in ("1" * 300_000, "a" * 300_000 + "@", "1." * 150_000, "+1" + " " * 300_000, "@" * 300_000, "1 " * 150_000):
+        pii_bootstrap.instances(t)
+
+
+def test_contexts_discover_unseen_identifiers(spark):
+    rng = random.Random(1)
+
+    def card(valid):
+        d = [rng.randrange(10) for _ in range(15)]
+        s = "".join(map(str, d))
+        good = next(c for c in "0123456789" if pii_bootstrap.luhn(s + c))
+        return s + (good if valid else str((int(good) + 3) % 10))
+
+    rows = [(i, f"the order of w{i} was paid by card number {card(True)} today and w{i * 7}") for i in range(60)]
+    rows += [(100, f"paid by card number {(odd := card(False))} today"), (101, f"part w {card(False)} stands"), (102, "nothing here 1 2 3")]
+    got = {r["id"]: r for r in pii_bootstrap.extract(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    assert [(s["kind"], text[100][s["start"]:s["end"]]) for s in got[100]["spans"]] == [("card", odd)]
+    assert got[100]["base"] == [] and got[101]["spans"] == [] and got[102]["spans"] == []
+    assert all(len(got[i]["base"]) == 1 and got[i]["spans"] == got[i]["base"] for i in range(60))
