@@ -2,8 +2,7 @@
 
 import sys as _sys
 
-try:  # ship the package with the Python UDFs that use it (no --py-files needed)
-    from pyspark import cloudpickle as _cloudpickle
-    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # pragma: no cover - older cloudpickle without by-value support
-    pass
+from pyspark import cloudpickle as _cloudpickle
+
+# ship the package with the Python UDFs that use it (no --py-files needed)
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])

@@ -6,7 +6,9 @@ the rest of the library assumes (UTC session time, AQE on, Arrow on, UI off).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -44,25 +46,39 @@ def build_session(master: str | None = None, app: str = "docketline",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read here.
-    Where it is unset (local tests), a fresh folder under /tmp is set.
+    On a cluster this setting must name shared storage; it is only read here,
+    and an unset one is an error, as a folder of the driver's machine would not
+    be seen by the executors. Only where everything runs in one process
+    (``local``, tests), a fresh folder under /tmp is set and removed at exit.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="docketline-ckpt-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system drop ``path`` when the driver ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
     Used after expensive or non-repeatable steps (model scoring) so that a
-    lost executor re-reads the written table instead of re-running them.
+    lost executor re-reads the written table instead of re-running them. The
+    table lives as long as the driver.
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark)
     path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
+    _delete_on_exit(spark, path)
     return spark.read.parquet(path)
