@@ -9,6 +9,8 @@ differ from Spark's defaults in several places (see the notes per function).
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,13 +42,6 @@ MOJIBAKE_BULLET = "â€¢"  # UTF-8 bullet read as cp1252
 DROP_LINE_PREFIXES = ("BrewChat", "Dates are answered in the format")
 DROP_LINE_CONTAINS = "XML"
 FIRST_LINE_MAX = 80
-# Named entities decoded natively (&amp; last so that it decodes only once
-# per pass). Anything else that looks like an entity goes to the exact path.
-NATIVE_ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-    ("&#x27;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
-    ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"),
-)
 # ----------------------------------------------------------------------------
 
 _NODE = "\u0001"   # separator put where a tag was
@@ -115,28 +110,70 @@ def split_words(word_arr, n_parts) -> Column:
     return F.transform(F.sequence(F.lit(0), n - 1), part)
 
 
-def decode_entities(c) -> Column:
-    """Decode the native entity list.
-
-    The input appears once in the expression. A ``when(contains('&'), …)``
-    guard would repeat it three times, and Spark does not share a repeated
-    sub-expression that holds a lambda, so the regexes and the node
-    ``transform`` below would run again per branch. A ``replace`` that finds
-    nothing is one ``indexOf`` scan and returns its input."""
-    out = _c(c)
-    for ent, ch in NATIVE_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
+# A character reference after its '&' (never across a tag's mark).
+_REFERENCE_RX = r"\A(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;\x01]{1,32};?)"
+_REPLACEMENT = "�"
+
+
+def _names() -> Column:
+    """Map of the public HTML5 names (with and without ';') to their text: one
+    constant, folded when the query is planned."""
+    table = "\x01".join(f"{name}\x02{value}" for name, value in sorted(html5.items()))
+    return F.str_to_map(F.lit(table), F.lit("\x01"), F.lit("\x02"))
+
+
+def _common(ref: Column) -> Column:
+    """The names of nearly all references, before the scan of the whole map."""
+    out = F.when(ref == "amp;", "&")
+    for name in ("lt;", "gt;", "quot;", "nbsp;", "apos;"):
+        out = out.when(ref == name, html5[name])
     return out
 
 
-def needs_exact_html(c) -> Column:
-    """True when the HTML holds an entity outside the native list; such rows
-    take the exact (stdlib html.parser) path."""
-    names = "|".join(e[1:-1] for e, _ in NATIVE_ENTITIES)
-    return F.coalesce(_c(c).rlike(f"&(?=[A-Za-z#])(?!(?:{names});)"), F.lit(False))
+def _code_point(n: Column) -> Column:
+    """The character of a numeric reference by the HTML5 rules: 128-159 read
+    as windows-1252, no control characters or non-characters, U+FFFD for zero,
+    surrogates and numbers out of range."""
+    old = F.array(*[F.lit(bytes([b]).decode("cp1252", "ignore") or chr(b)) for b in range(0x80, 0xA0)])
+    nothing = (n.between(1, 8) | (n == 0xB) | n.between(0xE, 0x1F) | (n == 0x7F) | n.between(0xFDD0, 0xFDEF)
+               | (n.bitwiseAND(0xFFFF) >= 0xFFFE))
+    return (F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), _REPLACEMENT)
+            .when(n.between(0x80, 0x9F), F.get(old, (n - 0x80).cast("int")))
+            .when(nothing, "")
+            .when(n == 0xFEFF, "\ufeff")  # else taken for a byte order mark
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")))
+
+
+def _decode_piece(p: Column) -> Column:
+    """Text after an '&', with the reference at its start decoded. Names
+    without ';' count by their longest known prefix."""
+    ref = F.regexp_extract(p, _REFERENCE_RX, 0)
+    hexa = F.regexp_extract(ref, r"\A#[xX]0*([0-9a-fA-F]*)", 1)
+    deci = F.regexp_extract(ref, r"\A#0*([0-9]*)", 1)
+    is_hex, is_dec = ref.rlike(r"\A#[xX]"), ref.rlike(r"\A#[0-9]")
+    number = (F.when(is_hex, F.when(F.length(hexa) > 8, 0x110000).otherwise(F.coalesce(F.conv(hexa, 16, 10).cast("bigint"), F.lit(0))))
+              .otherwise(F.when(F.length(deci) > 9, 0x110000).when(deci == "", 0).otherwise(deci.cast("bigint"))))
+    old_names = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+    prefix = F.regexp_extract(ref, r"\A(?:" + "|".join(old_names) + ")", 0)
+    named = F.coalesce(
+        _common(ref),
+        F.try_element_at(_names(), ref),
+        F.concat(F.try_element_at(_names(), prefix), F.substring(ref, F.length(prefix) + 1, F.lit(64))),
+        F.concat(F.lit("&"), ref))
+    return F.concat(F.when(is_hex | is_dec, _code_point(number)).otherwise(named),
+                    F.substring(p, F.length(ref) + 1, F.length(p)))
 
 
-# Patterns shared with the SQL oracle (valid in Java and RE2).
+def decode_entities(c) -> Column:
+    """Decode all HTML character references, as ``html.unescape`` does.
+
+    The input appears once in the expression and is split at '&'; a text
+    without one passes through the one-element array."""
+    return F.array_join(F.transform(F.split(_c(c), "&"), lambda p, i: F.when(i == 0, p).otherwise(_decode_piece(p))), "")
+
+
+# Patterns. Repetitions over quoted values are possessive: Java matches them in a
+# loop, without recursion or backtracking, however long the tag.
 # Comment, script body, style body, declaration / processing instruction;
 # one alternation so the document is scanned once.
 RAW_BLOCK_RX = (
@@ -145,13 +182,13 @@ RAW_BLOCK_RX = (
     r"|style\b[^>]*>.*?(?:</style\s*>|\z)"
     r"|[!?][^>]*>)",
 )
-_ATTRS = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
+_ATTRS = r"[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+"
 TAG_RX = r"</?[A-Za-z]" + _ATTRS + ">"
-P_OPEN_RX = r"(?i)<p(?:\s" + _ATTRS + r")?/?>"
+P_OPEN_RX = r"(?i)<p(?:/?|\s" + _ATTRS + r")>"
 P_CLOSE_RX = r"(?i)</p\s*>"
 STEM_RX = r"(?s)\A((?:.*[/\\])?\.*[^./\\][^/\\]*)\.[^./\\]*\z"
 BULLETS_RX = r"(?:\A|\n)" + WS + "*" + BULLET_CLASS + "+" + WS + r"+[^\n]*"
-LEADING_BULLETS_RX = r"\A(?:[\-*•→]|" + WS + ")+"
+LEADING_BULLETS_RX = r"\A[\-*•→" + WS[1:-1] + "]+"
 
 
 def _drop_raw_blocks(c) -> Column:
@@ -211,8 +248,8 @@ def first_paragraph(c, max_length: int = FIRST_LINE_MAX, marked: bool = False) -
 
     A paragraph runs up to the next ``<p>`` or ``</p>``. This equals the
     tree-building parser whenever paragraphs open and close in turn
-    (``paragraphs_alternate``); ``html_exact.first_paragraph_exact`` is the
-    exact path for the other rows. ``marked``: ``c`` is already
+    (``paragraphs_alternate``); ``html_exact.first_line_exact`` is the exact
+    path for the other rows. ``marked``: ``c`` is already
     ``paragraph_marked``.
     """
     s = _c(c) if marked else paragraph_marked(c)
@@ -221,9 +258,14 @@ def first_paragraph(c, max_length: int = FIRST_LINE_MAX, marked: bool = False) -
         pieces,
         lambda p: F.array_join(_text_nodes(F.substring_index(p, _P_CLOSE, 1)), ""))
     first = F.try_element_at(F.filter(texts, lambda t: t != ""), F.lit(1))
-    # the cut is one regex so that ``first`` (a lambda expression) is
-    # evaluated once; '.' is one code point, like length() and Python's len
-    cut = F.regexp_replace(first, r"(?s)\A(.{%d}).+\z" % max_length, "$1...")
+    return cut_line(first, max_length)
+
+
+def cut_line(c, max_length: int = FIRST_LINE_MAX) -> Column:
+    """A first line: cut to ``max_length`` + '...'; '-' for none. The cut is one
+    regex so that its input (a lambda expression) is evaluated once; '.' is one
+    code point, like length() and Python's len."""
+    cut = F.regexp_replace(_c(c), r"(?s)\A(.{%d}).+\z" % max_length, "$1...")
     return F.coalesce(cut, F.lit("-"))
 
 
@@ -238,7 +280,7 @@ def paragraphs_alternate(c, marked: bool = False) -> Column:
 def is_upper(c) -> Column:
     """``str.isupper()``: some upper-case letter and no lower/title-case one."""
     x = F.coalesce(_c(c), F.lit(""))
-    return x.rlike(r"\p{Lu}") & ~x.rlike(r"[\p{Ll}\p{Lt}]")
+    return x.rlike(r"\p{IsUppercase}") & ~x.rlike(r"[\p{IsLowercase}\p{Lt}]")
 
 
 def entry_description(first_line) -> Column:
@@ -279,14 +321,15 @@ def fix_mojibake(c) -> Column:
     return F.replace(_c(c), F.lit(MOJIBAKE_BULLET), F.lit("*"))
 
 
-def clean_response(c) -> Column:
-    """Normalise bullets to '*', drop blank / tool / XML lines, tab-indent."""
+def clean_response(c, drop_prefixes: tuple[str, ...] = DROP_LINE_PREFIXES) -> Column:
+    """Normalise bullets to '*', drop blank lines, lines that begin with one of
+    ``drop_prefixes`` and XML lines, tab-indent."""
     x = F.regexp_replace(_c(c), "\n" + WS + "*" + BULLET_CLASS + "+", "\n*")
     lines = F.split(x, "\n", -1)
 
     def keep(line):
         cond = (py_strip(line) != "") & ~line.contains(DROP_LINE_CONTAINS)
-        for p in DROP_LINE_PREFIXES:
+        for p in drop_prefixes:
             cond = cond & ~line.startswith(p)
         return cond
 

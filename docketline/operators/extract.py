@@ -97,11 +97,11 @@ def _exact_first_lines(e: DataFrame) -> DataFrame:
     need it. ``e`` is read from the materialised step-1 table, so the split
     re-reads Parquet (the flagged branch is pruned by the null filter) rather
     than recomputing the source."""
-    from docketline.functions.html_exact import first_paragraph_exact
+    from docketline.functions.html_exact import first_line_exact
     flagged = F.col("_exact_html").isNotNull()
     plain = e.where(~flagged)
     exact = (e.where(flagged)
-             .withColumn("first_line", first_paragraph_exact(F.col("_exact_html")))
+             .withColumn("first_line", first_line_exact(F.col("_exact_html")))
              .withColumn("entry_description", T.entry_description("first_line")))
     return plain.unionByName(exact).drop("_exact_html")
 
@@ -115,7 +115,7 @@ def courtbook_rows(entries: DataFrame, items: DataFrame, token_limit: int = T.TO
     e = entry_texts(e)
     bypass = F.col("route") == ROUTE_BYPASS
     html = F.coalesce(F.col("entry_final_html"), F.lit(""))
-    needs_exact = ~(T.paragraphs_alternate("_pm", marked=True) & ~T.needs_exact_html(html))
+    needs_exact = ~T.paragraphs_alternate("_pm", marked=True)
     e = (e
          .withColumn("n_parts", F.when(bypass, F.lit(1).cast("bigint"))
                      .otherwise(T.part_count("tokens", token_limit)))
@@ -133,7 +133,7 @@ def courtbook_rows(entries: DataFrame, items: DataFrame, token_limit: int = T.TO
         "part_no": (F.col("part_idx") + 1).cast("bigint"),
         "part": F.concat(F.lit("Part "), (F.col("part_idx") + 1).cast("string"),
                          F.lit("/"), F.col("n_parts").cast("string")),
-        "entry_date": F.timestamp_millis(F.col("entry_date_ms")),
+        "entry_date": F.timestamp_millis(F.col("entry_date_ms")),  # bounded by the reader
         "prompt_id": F.when(bypass, F.lit(None).cast("int")).otherwise(F.lit(1)),
         "token_count": F.when(bypass, F.lit(0).cast("bigint")).otherwise(F.col("tokens")),
     })

@@ -26,6 +26,7 @@ STATUS_ERROR = "error"
 STATUS_INCONCLUSIVE = "inconclusive"
 STATUS_SUMMARY = "summary"
 NO_RESPONSE = "Error: No response received"
+EXCEPTION_RESPONSE = "Error: Exception occurred"
 
 PART_COLUMNS = ["unique_id", "line_id", "source_doc", "part_no", "entry_date",
                 "entry_description", "entry_original", "response", "handwritten",
@@ -100,10 +101,16 @@ def pandas_scorer(call: Callable[[object, pd.DataFrame], pd.Series],
     """Scorer around a remote model client, run with ``mapInPandas``.
 
     ``call(client, frame[text, prompt])`` returns the raw responses. A new
-    client is made for every ``batch_rows`` rows (session renewal), and a
-    failing call becomes an 'Error: …' response for its rows instead of
-    failing the task. Concurrency = number of partitions of the input.
+    client is made for every ``batch_rows`` rows (session renewal). When a call
+    fails, its rows are sent one by one, and only those that fail again get the
+    'Error: Exception occurred' response. Concurrency = number of partitions of the input.
     """
+    def one(client: object, row: pd.DataFrame) -> str | None:
+        try:
+            return pd.Series(call(client, row[["text", "prompt"]])).iloc[0]
+        except Exception:  # the row's answer says so
+            return EXCEPTION_RESPONSE
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for start in range(0, len(pdf), batch_rows):
@@ -111,8 +118,8 @@ def pandas_scorer(call: Callable[[object, pd.DataFrame], pd.Series],
                 client = client_factory()
                 try:
                     out = pd.Series(call(client, chunk[["text", "prompt"]]), index=chunk.index)
-                except Exception as exc:  # one bad batch must not stop the job
-                    out = pd.Series([f"Error: {type(exc).__name__}"] * len(chunk), index=chunk.index)
+                except Exception:  # find the rows at fault; the others keep their answers
+                    out = pd.Series([one(client, chunk.iloc[[i]]) for i in range(len(chunk))], index=chunk.index)
                 yield pd.DataFrame({"request_hash": chunk["request_hash"].values,
                                     "raw_response": out.astype(object).values})
 
@@ -154,10 +161,23 @@ def response_status(raw: Column, route: Column, extracted: Column | None = None)
 def final_response(raw: Column) -> Column:
     """What the part table stores: bullets of the raw response, or the
     no-response error."""
-    return F.when(raw.isNull() | (raw == ""), F.lit(NO_RESPONSE)).otherwise(T.extract_bullets(raw))
+    return (F.when(raw.isNull() | (raw == ""), F.lit(NO_RESPONSE)).when(raw == EXCEPTION_RESPONSE, raw)
+            .otherwise(T.extract_bullets(raw)))
+
+
+def cacheable(responses: DataFrame) -> DataFrame:
+    """The responses that may answer later runs: no errors, one a request."""
+    return (responses.where(F.coalesce(F.length("raw_response"), F.lit(0)) > 0)
+            .where(~F.col("raw_response").startswith("Error")).dropDuplicates(["request_hash"]))
+
 
+def retry_table(responses: DataFrame) -> DataFrame:
+    """The requests to send again: those with an error or no response."""
+    good = cacheable(responses).select("request_hash")
+    return responses.join(good, "request_hash", "left_anti").select("request_hash", "raw_response")
 
-def part_table(rows: DataFrame, prompts: DataFrame, scorer=None,
+
+def part_table(rows: DataFrame, prompts: DataFrame, scorer: Callable[[DataFrame], DataFrame],
                run_ts: str = "1970-01-01 00:00:00", answered: DataFrame | None = None,
                cache_responses: bool = True) -> DataFrame:
     """Step 2 output: one row per courtbook row with the model's response.
@@ -165,13 +185,19 @@ def part_table(rows: DataFrame, prompts: DataFrame, scorer=None,
     ``rows`` are courtbook rows with ``route`` (``courtbook_rows(...,
     keep_internal=True)``). Responses are materialised (``cache_responses``)
     so that a lost executor does not send the same requests again.
+    ``answered`` (request_hash, raw_response): responses of earlier runs; their
+    requests are not sent, and they answer the rows here. Errors among them
+    don't count.
     """
-    scorer = scorer or native_scorer()
+    if answered is not None:
+        answered = cacheable(answered)
     rows = prompt_lookup(rows, prompts)
     reqs = request_table(rows)
     responses = scorer(request_dedup(reqs, answered))
     if cache_responses:
         responses = materialize(responses, "responses")
+    if answered is not None:
+        responses = responses.select("request_hash", "raw_response").unionByName(answered.select("request_hash", "raw_response"))
     scored = (reqs.join(responses, "request_hash", "left")
               .withColumn("response", final_response(F.col("raw_response")))
               .withColumn("status", response_status(F.col("raw_response"), F.col("route"),

@@ -2,10 +2,9 @@
 
 All the reference's joins are dictionary probes: equi joins whose build side
 is "last value wins" per key. Here the build side is reduced to one row per
-key first (a partial-aggregating ``max_by``), then joined. A build side is
-broadcast only after its row count has been checked against a bound;
-otherwise the join stays a shuffle join and AQE may still convert it at run
-time from measured sizes.
+key first (a partial-aggregating ``max_by``), then joined. No side is broadcast by a
+hint: Spark does so below its own byte threshold, at run time (AQE) from the
+measured size, and splits skewed partitions of the shuffle join otherwise.
 """
 
 from __future__ import annotations
@@ -13,21 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest build side (rows) broadcast on purpose.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when ``df`` has at most ``max_rows`` rows.
-
-    Counting a lookup table is cheap next to the fact side, and it is the
-    proof of size the hint needs; ``limit(max_rows + 1)`` stops the count
-    early on a huge table.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def last_wins(df: DataFrame, keys: list[str], order: str | Column,
               values: list[str]) -> DataFrame:
     """One row per key holding the values of its last row by ``order``.
@@ -42,13 +26,11 @@ def last_wins(df: DataFrame, keys: list[str], order: str | Column,
 
 
 def lookup(df: DataFrame, table: DataFrame, left_key: str, right_key: str,
-           value: str, out: str, default: Column, broadcast: bool = True) -> DataFrame:
+           value: str, out: str, default: Column) -> DataFrame:
     """Left lookup with a default on *no match* (a matched NULL stays NULL).
     ``table`` must already hold one row per key."""
     t = table.select(F.col(right_key).alias("_lk"), F.col(value).alias("_lv"),
                      F.lit(True).alias("_hit"))
-    if broadcast:
-        t = broadcast_if_small(t)
     j = df.join(t, df[left_key] == t["_lk"], "left")
     return j.withColumn(out, F.when(F.col("_hit"), F.col("_lv")).otherwise(default)) \
         .drop("_lk", "_lv", "_hit")

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketline.operators.joins import broadcast_if_small
 from docketline.session import materialize
 
 DEFAULT_BLOCK_ROWS = 1 << 16
@@ -29,7 +28,7 @@ def exclusive_running_sum(df: DataFrame, key: str, pos: str, value: str, out: st
     ``block_rows`` rows. One shuffle on (key, block). The windowed rows are
     written once (``materialize_as``) so that the block totals read three
     narrow columns instead of recomputing the input; the per-block offsets
-    are small and join back behind a size check.
+    are small; Spark picks the join from their size.
     """
     blk = "_blk"
     d = df.withColumn(blk, F.floor(F.col(pos) / F.lit(block_rows)))
@@ -43,7 +42,7 @@ def exclusive_running_sum(df: DataFrame, key: str, pos: str, value: str, out: st
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(key, blk,
                             F.coalesce(F.sum("_tot").over(w_blk), F.lit(0)).alias("_off"))
-    return (_join_blocks(local, broadcast_if_small(offsets), key, blk)
+    return (_join_blocks(local, offsets, key, blk)
             .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
             .drop(blk, "_local", "_off"))
 
@@ -66,13 +65,14 @@ def previous_non_null(df: DataFrame, key: str, order: list[str], value: str,
 
     Rows are range-partitioned on (key, order): Spark samples the boundaries,
     so a hot key is spread over many partitions, and the partition id is the
-    block. The range exchange is shared by both branches below (one shuffle
-    of the input, then a local re-clustering by (key, block)).
+    block. The block id is written with the rows before both branches below
+    read it: a second evaluation of the exchange could sample other boundaries
+    and give other blocks.
     """
     spark = df.sparkSession
     n = n_blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     blk = "_blk"
-    ranged = df.repartitionByRange(n, key, *order).withColumn(blk, F.spark_partition_id())
+    ranged = materialize(df.repartitionByRange(n, key, *order).withColumn(blk, F.spark_partition_id()), "ranged")
     w_in = Window.partitionBy(key, blk).orderBy(*order)
     local = (ranged
              .withColumn("_prev_local",

@@ -32,13 +32,14 @@ def payload_json(merged: DataFrame) -> DataFrame:
     """The source object with ``entryFinal`` replaced, as JSON text.
 
     Every other key of the source object passes through unchanged (values
-    kept as VARIANT); the replaced key moves to the end of the object.
+    kept as VARIANT); the replaced key moves to the end of the object. Entries
+    without a response keep ``entryFinal`` as it was, absent included.
     """
     fields = F.from_json("raw", "map<string,variant>")
     kept = F.map_filter(fields, lambda k, v: k != "entryFinal")
     final = F.create_map(F.lit("entryFinal"), F.col("entry_final_html").cast("variant"))
-    return merged.select("court_book_id", "line_id",
-                         F.to_json(F.map_concat(kept, final)).alias("payload"))
+    new = F.when(F.col("matched"), F.map_concat(kept, final)).otherwise(fields)
+    return merged.select("court_book_id", "line_id", F.to_json(new).alias("payload"))
 
 
 def writeback_delta(merged: DataFrame, run_id: str) -> DataFrame:

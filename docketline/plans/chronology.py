@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from docketline.operators import extract, inference, payload, post
 from docketline.session import materialize
+from docketline.sources import readers
 
 
 @dataclass
@@ -21,6 +22,7 @@ class ChronologyRun:
     merged: DataFrame      # step 4: source entries with entryFinal replaced
     payload: DataFrame     # step 4: payload JSON per entry
     delta: DataFrame       # step 5: write-back rows
+    quarantine: DataFrame | None = None  # raw rows that are no entries, with a reason
 
 
 def land_entries(entries: DataFrame) -> DataFrame:
@@ -34,10 +36,20 @@ def land_entries(entries: DataFrame) -> DataFrame:
     return materialize(entries, "entries")
 
 
+def land_raw(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Land raw JSON rows once; typed entries and, with a reason, the rows that
+    are none. The two together are the input."""
+    raw = materialize(raw, "raw-entries")
+    return readers.parse_entries(raw), materialize(readers.quarantine(raw), "quarantine")
+
+
 def run_chronology(entries: DataFrame, items: DataFrame, prompts: DataFrame, *,
-                   scorer=None, run_id: str = "run-0", run_ts: str = "1970-01-01 00:00:00",
+                   scorer, run_id: str = "run-0", run_ts: str = "1970-01-01 00:00:00",
                    token_limit: int = extract.T.TOKEN_LIMIT,
                    answered: DataFrame | None = None) -> ChronologyRun:
+    bad = None
+    if "entry_date_ms" not in entries.columns:  # raw rows (pos, raw[, court_book_id, error])
+        entries, bad = land_raw(entries)
     entries = land_entries(entries)
     rows = extract.courtbook_rows(entries, items, token_limit=token_limit, keep_internal=True)
     parts = inference.part_table(rows, prompts, scorer=scorer, run_ts=run_ts, answered=answered)
@@ -46,4 +58,4 @@ def run_chronology(entries: DataFrame, items: DataFrame, prompts: DataFrame, *,
     merged = payload.merge_back(entries, ext)
     return ChronologyRun(rows=rows, parts=parts, sheet=sheet, extract=ext, merged=merged,
                          payload=payload.payload_json(merged),
-                         delta=payload.writeback_delta(merged, run_id))
+                         delta=payload.writeback_delta(merged, run_id), quarantine=bad)

@@ -196,10 +196,6 @@ FROM documents""",
     "split_parts": _split_sql(T.TOKEN_LIMIT),
     "split_parts_300": _split_sql(Q.SMALL_TOKEN_LIMIT),
     "html_to_text": f"SELECT page_id, {S.html_to_text('html')} AS text FROM pages",
-    "first_line": f"""
-SELECT page_id, {S.first_paragraph('html')} AS first_line,
-       {S.entry_description(S.first_paragraph('html'))} AS entry_description
-FROM pages""",
     "entry_description": with_(ENTRIES) + f"""
 SELECT court_book_id, line_id, {S.first_paragraph("coalesce(entry_final_html, '')")} AS first_line,
        {S.entry_description(S.first_paragraph("coalesce(entry_final_html, '')"))} AS entry_description
@@ -294,9 +290,10 @@ SELECT court_book_id, line_id,
        || CASE WHEN relevant_raw IS NOT NULL THEN ',"relevant":' || to_json(relevant_raw) ELSE '' END
        || CASE WHEN labelled THEN ',"entryDate":' || CAST(entry_date_ms AS VARCHAR) ELSE '' END
        || ',"entryOriginal":' || to_json(entry_original_html)
+       || CASE WHEN NOT matched AND entry_final_html IS NOT NULL THEN ',"entryFinal":' || to_json(entry_final_html) ELSE '' END
        || CASE WHEN lang IS NOT NULL THEN ',"lang":' || to_json(lang) ELSE '' END
        || CASE WHEN n_chars IS NOT NULL THEN ',"nChars":' || CAST(n_chars AS VARCHAR) ELSE '' END
-       || ',"entryFinal":' || coalesce(to_json(entry_final), 'null') || '}' AS payload
+       || CASE WHEN matched THEN ',"entryFinal":' || coalesce(to_json(entry_final), 'null') ELSE '' END || '}' AS payload
 FROM merged""",
     "worklist_scan": with_(WORK) + "\nSELECT line_no, ID FROM worklist WHERE ID IS NOT NULL AND ID <> ''",
     "incremental_anti": with_(WORK) + "\nSELECT line_no, ID FROM worklist WHERE ID NOT IN (SELECT ID FROM ledger)",

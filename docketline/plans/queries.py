@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketline.functions import text as T
+from docketline.functions.html_exact import with_first_line
 from docketline.operators import extract, inference, joins, payload, post
 from docketline.operators.ordered import previous_non_null
 from docketline.plans.chronology import land_entries, run_chronology
@@ -39,7 +40,7 @@ def _rows(spark, sf, limit=T.TOKEN_LIMIT):
 
 def _run(spark, sf):
     return run_chronology(_entries(spark, sf), fx.items(spark, sf), fx.prompts(spark, sf),
-                          run_id=RUN_ID, run_ts=RUN_TS)
+                          scorer=inference.native_scorer(), run_id=RUN_ID, run_ts=RUN_TS)
 
 
 def _fmt_parts(df: DataFrame) -> DataFrame:
@@ -76,9 +77,9 @@ def q_html_to_text(spark, sf):
 
 
 def q_first_line(spark, sf):
-    p = fx.table(spark, sf, "pages")
-    fl = T.first_paragraph("html")
-    return p.select("page_id", fl.alias("first_line"), T.entry_description(fl).alias("entry_description"))
+    p = fx.table(spark, sf, "pages").select("page_id", "html")
+    return with_first_line(p, "html", "first_line").select(
+        "page_id", "first_line", T.entry_description("first_line").alias("entry_description"))
 
 
 def q_entry_description(spark, sf):
@@ -135,8 +136,7 @@ def q_last_wins(spark, sf):
 def q_lookup_description(spark, sf):
     e = _entries(spark, sf)
     table = joins.last_wins(fx.items(spark, sf), ["id"], "load_order", ["description"])
-    t = joins.broadcast_if_small(table.select(F.col("id").alias("_lk"), "description",
-                                              F.lit(True).alias("_hit")))
+    t = table.select(F.col("id").alias("_lk"), "description", F.lit(True).alias("_hit"))
     j = e.join(t, e["book_item_id"] == t["_lk"], "left")
     return j.select("court_book_id", "line_id", "book_item_id",
                     F.when(F.col("_hit"), F.col("description")).otherwise(F.lit("-"))
@@ -307,7 +307,7 @@ def q_log_parse(spark, sf):
 
 
 def q_log_tail(spark, sf):
-    return fx.runlog(spark, sf).orderBy(F.desc("line_no")).limit(LOG_TAIL_LINES)
+    return fx.runlog(spark, sf).orderBy(F.desc("line_no")).limit(LOG_TAIL_LINES).orderBy("line_no")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

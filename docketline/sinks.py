@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from docketline.operators.extract import display_names
 
 
+# Consecutive sheet rows that one task writes: a book is spread over many.
+SHEET_BLOCK = 1 << 16
+
+
 def _writer(df: DataFrame, *parts: str):
     df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     return df.write.mode("overwrite").partitionBy(*parts)
@@ -29,14 +33,14 @@ def write_courtbook_rows(rows: DataFrame, path: str, csv: bool = False) -> None:
 
 
 def write_parts(parts: DataFrame, path: str) -> None:
-    """Step 2 output: one folder per book and 50-row batch (Parquet: texts
-    with line breaks and ids keep their values, unlike a CSV round trip)."""
-    _writer(parts, "court_book_id", "batch_no").parquet(path)
+    """Step 2 output: one folder per book, the 50-row batch a column (Parquet:
+    texts with line breaks and ids keep their values, unlike a CSV round trip)."""
+    _writer(parts, "court_book_id").parquet(path)
 
 
 def read_parts(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """Read part folders back with an explicit schema (partition values keep
-    their types: a book id such as '007' stays a string). Book and batch come
+    their types: a book id such as '007' stays a string). The book comes
     from the folder names; the file name is kept for lineage, and order
     comes from ``index``, never from how file names sort."""
     reader = spark.read.option("basePath", path)
@@ -47,7 +51,10 @@ def read_parts(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def write_sheet(sheet: DataFrame, path: str) -> None:
-    _writer(sheet.orderBy("court_book_id", "first_index"), "court_book_id").parquet(path)
+    """Step 3 output, one folder per book; rows are in order within each file."""
+    block = F.floor(F.col("first_index") / F.lit(SHEET_BLOCK))
+    ordered = sheet.repartition("court_book_id", block).sortWithinPartitions("court_book_id", "first_index")
+    _writer(ordered, "court_book_id").parquet(path)
 
 
 def write_payload(payload: DataFrame, path: str) -> None:

@@ -7,6 +7,11 @@ apart from "null".
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +22,10 @@ ENTRY_COLUMNS = ["court_book_id", "pos", "line_id", "book_item_id", "handwritten
                  "entry_original_html", "entry_final_html", "raw"]
 
 
+# Epoch milliseconds of the years 1 to 9999; other numbers are invalid dates.
+DATE_RANGE_MS = (-62_135_596_800_000, 253_402_300_799_999)
+
+
 def read_worklist(spark: SparkSession, path: str) -> DataFrame:
     """Work list CSV: first line is a header (name not checked), column 0 is
     the book id; blank ids dropped, duplicates kept, file order kept."""
@@ -47,13 +56,78 @@ def read_entry_lines(spark: SparkSession, path: str) -> DataFrame:
     return parse_entries(raw.withColumn("pos", F.monotonically_increasing_id()))
 
 
+_SPACE = re.compile(r"[ \t\n\r]*")
+
+
+def _array_elements(value: str) -> Iterator[tuple[str, str | None]]:
+    """(text, None) of each element of a JSON array, cut out of ``value`` one by
+    one; where the array is malformed, (rest, reason), and no more."""
+    decoder = json.JSONDecoder()
+    at = _SPACE.match(value).end()
+    if value[at:at + 1] != "[":
+        yield value, "not a JSON array"
+        return
+    at = _SPACE.match(value, at + 1).end()
+    first = True
+    while value[at:at + 1] != "]":
+        start = at
+        try:
+            if not first:
+                if value[at:at + 1] != ",":
+                    raise ValueError("no ',' between elements")
+                at = _SPACE.match(value, at + 1).end()
+            start = at
+            _, at = decoder.raw_decode(value, at)
+        except ValueError as e:
+            yield value[start:], str(e).partition(":")[0] or "malformed"
+            return
+        yield value[start:at], None
+        at, first = _SPACE.match(value, at).end(), False
+
+
+def array_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(court_book_id, pos, raw, error): JSON arrays, one file a book, one row an
+    element with its own text. The book is the file's name without its ending.
+    Elements are cut out one by one, so a long file loses none of them to a size
+    limit of one parsed value; what can't be cut is a row with an error."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for book, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                rows, held = [], 0
+                for pos, (raw, error) in enumerate(_array_elements(value)):
+                    rows.append((book, pos, raw, error))
+                    held += len(raw)
+                    if held > 1 << 22:
+                        yield _element_batch(rows)
+                        rows, held = [], 0
+                if rows:
+                    yield _element_batch(rows)
+
+    files = spark.read.option("wholetext", True).text(path)
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"\A(.*?)(?:\.[^.]*)?\z", 1)
+    return files.select(F.url_decode(name).alias("court_book_id"), "value").mapInArrow(
+        run, "court_book_id string, pos bigint, raw string, error string")
+
+
+def _element_batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.string(), pa.int64(), pa.string(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["court_book_id", "pos", "raw", "error"])
+
+
 def read_entry_arrays(spark: SparkSession, path: str) -> DataFrame:
     """Landed API responses, one JSON array per file (the source system's
-    shape). A whole file is one task, so land large books as JSON lines."""
-    files = spark.read.option("wholetext", True).text(path)
-    elems = files.select(F.posexplode(F.try_variant_get(
-        F.try_parse_json("value"), "$", "array<variant>")).alias("pos", "v"))
-    return parse_entries(elems.select("pos", F.to_json("v").alias("raw")))
+    shape), as typed entries; ``quarantine`` has what is no object."""
+    return parse_entries(array_rows(spark, path))
+
+
+def quarantine(df: DataFrame) -> DataFrame:
+    """Rows of (…, raw[, error]) that ``parse_entries`` leaves out, with a
+    reason; the entries and these rows together are the input."""
+    bad = json_quarantine(df)
+    why = F.when(F.coalesce(F.length("raw"), F.lit(0)) > 20_000_000, "longer than the JSON parser takes").otherwise("not a JSON object")
+    if "error" in df.columns:
+        return bad.withColumn("reason", F.coalesce("error", why)).drop("error")
+    return bad.withColumn("reason", why)
 
 
 def parse_entries(df: DataFrame) -> DataFrame:
@@ -80,11 +154,12 @@ def parse_entries(df: DataFrame) -> DataFrame:
     date_v = F.try_variant_get(v, "$.entryDate", "variant")
     date_type = F.schema_of_variant(date_v)
     numeric = date_type.rlike(r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL.*)$")
+    number = F.try_variant_get(date_v, "$", "bigint")
     date_ms = (F.when(date_v.isNull(), F.lit(0).cast("bigint"))
-               .when(numeric, F.try_variant_get(date_v, "$", "bigint")))
+               .when(numeric & number.between(*DATE_RANGE_MS), number))
     book = s("$.courtBookId")
-    if "court_book_id" in df.columns:
-        book = F.coalesce(book, F.col("court_book_id"))
+    if "court_book_id" in df.columns:  # the request's or file's id comes first
+        book = F.coalesce(F.col("court_book_id"), book)
     fields = F.struct(
         book.alias("court_book_id"),
         F.col("pos").cast("bigint").alias("pos"),
@@ -112,9 +187,8 @@ def json_quarantine(df: DataFrame, col: str = "raw") -> DataFrame:
 def read_items(spark: SparkSession, path: str) -> DataFrame:
     """Book items JSON (array per file or one object per line). Items missing
     the ``id`` or ``description`` key are ignored; a null description is kept."""
-    txt = spark.read.option("wholetext", True).text(path)
-    elems = txt.select(F.posexplode(F.try_variant_get(
-        F.try_parse_json("value"), "$", "array<variant>")).alias("seq", "v"))
+    txt = array_rows(spark, path)
+    elems = txt.select(F.col("pos").alias("seq"), F.try_parse_json("raw").alias("v"))
     keys = F.map_keys(F.try_variant_get("v", "$", "map<string,variant>"))
     return elems.where(F.array_contains(keys, "id") & F.array_contains(keys, "description")) \
         .select(F.try_variant_get("v", "$.id", "string").alias("id"),

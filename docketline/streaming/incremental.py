@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -35,8 +36,10 @@ def worklist_stream(spark: SparkSession, folder: str) -> DataFrame:
 def _ledger(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.parquet(path).select("ID")
-    except Exception:  # no ledger yet: nothing finished
-        return spark.createDataFrame([], "ID string")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "ID string")  # no ledger yet: nothing finished
 
 
 def run_incremental(todo: DataFrame, ledger_path: str,

@@ -4,8 +4,10 @@ Chunks arrive as rows (request_id, chunk_no, line, done); ``done`` marks the
 last chunk of a request (the landing side sets it when the connection
 closes). Contents are decoded in the JVM; a keyed state per request holds
 the contents seen so far and emits the folded response when the request is
-done, or when no chunk arrived for ``timeout`` (a dropped connection).
-State is one small row per open request and is removed on emit.
+done. When no chunk arrived for ``timeout`` (a dropped connection), the answer is
+an error, never the part seen so far, and later chunks of the request are ignored.
+State is one row per open request and is removed on emit; a broken request keeps a
+mark.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from docketline.functions import text as T
 
 OUTPUT_SCHEMA = "request_id string, response string"
 STATE_SCHEMA = "pending string"
+CLOSED = "closed"
+BROKEN_STREAM = "Error: Stream ended early"
 
 
 def _fold(pending: dict) -> str:
@@ -31,10 +35,12 @@ def _fold(pending: dict) -> str:
 
 def _make_step(timeout_ms: int):
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.exists and state.get[0] == CLOSED:  # late chunks of a broken stream
+            yield pd.DataFrame({"request_id": [], "response": []})
+            return
         if state.hasTimedOut:
-            pending = {int(k): v for k, v in json.loads(state.get[0]).items()}
-            state.remove()
-            yield pd.DataFrame({"request_id": [key[0]], "response": [_fold(pending)]})
+            state.update((CLOSED,))
+            yield pd.DataFrame({"request_id": [key[0]], "response": [BROKEN_STREAM]})
             return
         pending = {int(k): v for k, v in json.loads(state.get[0]).items()} if state.exists else {}
         done = False

@@ -1,51 +1,71 @@
-"""The native HTML rules against the exact html.parser path (brute force on
-the test pages), and the exact path's own golden cases."""
+"""HTML rules: character references against the standard library, native text
+and first lines against a tree walk, and inputs that would exhaust a recursive
+matcher."""
 
-from conftest import SF01
+import html
+import random
+from html.entities import html5
+
+import pytest
+from conftest import SF01, one_col
 from pyspark.sql import functions as F
 
 from docketline.functions import text as T
-from docketline.functions.html_exact import (first_paragraph_exact, first_paragraph_py,
-                                              html_text_py, html_to_text_exact, with_first_line,
-                                              with_html_text)
+from docketline.functions.html_exact import _walk, first_line_exact, with_first_line
 from docketline.sources import fixtures as fx
 
 
-def test_exact_golden():
-    assert html_text_py("<p>A <b>b</b></p><p> c </p>") == "A b c"
-    assert html_text_py("x &amp;lt; y") == "x < y"
-    assert html_text_py("<p>&#233;t&eacute;</p>") == "été"
-    assert first_paragraph_py("<p> </p><p>Hello <b>World</b></p>") == "HelloWorld"
-    # an open <p> holds the later paragraphs until its parent closes
-    assert first_paragraph_py("<div><p>a<p>b</p>c</div><p>z</p>") == "abc"
-    assert first_paragraph_py(None) == "-"
+def test_references_as_the_standard_library_decodes_them(spark):
+    rng = random.Random(1)
+    names = list(html5)
+    texts = ["caf&eacute; &#8217;x&rsquo;", "&#0; &#x80; &#xD800; &#x110000; &#13; &#1; &#xfdd0; &#128512;", "x&", "&",
+             "&notit; &notin; &not &amp;lt; &ampx &;&&amp", "&#99999999999999; &#x; &#; &#xg", "&NotEqualTilde; &aacute", "", "&#65279;a&#xfeff",
+             *[f"&{n} &{n}x" for n in names]]
+    pieces = ["&", ";", "#", "x41", "12", "a", " "]
+    for _ in range(800):
+        texts.append("".join(rng.choice([rng.choice(pieces), "&" + rng.choice(names), f"&#{rng.randrange(70000)}", f"&#x{rng.randrange(70000):x}"])
+                             for _ in range(12)))
+    got = one_col(spark, texts, T.decode_entities)
+    assert [(t, g) for t, g in zip(texts, got) if g != html.unescape(t)] == []
+
+
+def test_native_text_is_that_of_the_tree_on_pages(spark):
+    rows = fx.table(spark, SF01, "pages").select("html", T.html_to_text("html").alias("t")).collect()
+    assert len(rows) == 250
+    assert all(r.t == html.unescape(" ".join(_walk(r.html).nodes)) for r in rows)
 
 
-def test_native_text_equals_exact_on_pages(spark):
-    p = fx.table(spark, SF01, "pages")
-    cmp = p.select(T.html_to_text("html").alias("n"), html_to_text_exact(F.col("html")).alias("e"))
-    assert cmp.where(F.col("n") != F.col("e")).count() == 0
-    assert cmp.count() == 250
+@pytest.mark.parametrize("doc,line", [
+    ("<p> </p><p>Hello <b>World</b></p>", "HelloWorld"), ("<div><p>a<p>b</p>c</div><p>z</p>", "abc"), (None, "-"), ("", "-"), ("no paragraph", "-"),
+    ("<div><p>open</div>tail<p>next</p>", "open"), ("<p>" + "x" * 80 + "</p>", "x" * 80), ("<p>" + "x" * 81 + "</p>", "x" * 80 + "..."),
+    ("<p>caf&eacute; &#8217;</p>", "café ’"), ("<script><p>no</p></script><p>yes</p>", "yes"),
+])
+def test_first_line_golden(spark, doc, line):
+    df = spark.createDataFrame([(doc,)], "h string")
+    assert df.select(first_line_exact(F.col("h"))).first()[0] == line
+    assert with_first_line(df.withColumn("h", F.coalesce("h", F.lit(""))), "h", "x").first()["x"] == line
 
 
-def test_routed_first_line_equals_exact_on_pages(spark):
-    p = fx.table(spark, SF01, "pages")
-    routed = with_first_line(p, "html", "n").select("page_id", "n")
-    exact = p.select("page_id", first_paragraph_exact(F.col("html")).alias("e"))
-    cmp = routed.join(exact, "page_id")
-    assert cmp.count() == 250
-    assert cmp.where(F.col("n") != F.col("e")).count() == 0
+def test_registered_first_lines_are_the_trees(spark):
+    from docketline.plans.queries import QUERIES
+    got = {r.page_id: r.first_line for r in QUERIES["first_line"](spark, SF01).collect()}
+    pages = fx.table(spark, SF01, "pages").select("page_id", "html").collect()
+    for p in pages:
+        full = next(filter(None, map("".join, _walk(p.html).paragraphs)), "-")
+        assert got[p.page_id] == (full if len(full) <= 80 else full[:80] + "...")
+    assert len(got) == len(pages) == 250
 
 
-def test_native_first_line_exact_where_paragraphs_alternate(spark):
-    p = fx.table(spark, SF01, "pages").where(T.paragraphs_alternate(F.col("html")))
-    d = fx.table(spark, SF01, "documents").select(T.html_paragraphs("text").alias("html"))
-    for df in (p.select("html"), d):
-        cmp = df.select(T.first_paragraph("html").alias("n"), first_paragraph_exact(F.col("html")).alias("e"))
-        assert cmp.where(F.col("n") != F.col("e")).count() == 0
+def test_step_one_decodes_what_the_model_reads(spark):
+    from docketline.operators.extract import entry_texts
+    df = spark.createDataFrame([("<p>caf&eacute; &#8217;s &rsquo;x&rsquo;</p>",)] * 2, "entry_original_html string")
+    r = entry_texts(df.withColumn("entry_final_html", F.col("entry_original_html"))).first()
+    assert r.entry_text == r.entry_modified == r.first_line == "café ’s ’x’"
 
 
-def test_routed_text_uses_exact_only_where_needed(spark):
-    df = spark.createDataFrame([("<p>&#233;t&eacute;</p>",), ("<p>a &amp; b</p>",)], "h string")
-    out = sorted(r.t for r in with_html_text(df, "h", "t").collect())
-    assert out == ["a & b", "été"]
+def test_long_malformed_texts(spark):
+    n = 1_000_000
+    texts = ["<p>a <b " + "x" * n, "<p " + 'a="b" ' * 20_000 + ">t</p>", "-" * n + " x", "<p>" + "&" * 10_000, "<" * 10_000]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    rows = df.select(T.html_to_text("x").alias("t"), T.first_paragraph("x").alias("l"), T.format_html("x", F.lit("a.b")).alias("f")).collect()
+    assert len(rows[0].t) == n + 5 and rows[1].t == rows[1].l == "t" and "<li>x</li>" in rows[2].f

@@ -140,7 +140,7 @@ def test_pandas_scorer_contains_errors(spark):
         raise RuntimeError("down")
     reqs = spark.createDataFrame([("h1", "x", "p")], "request_hash string, text string, prompt string")
     out = inference.pandas_scorer(boom)(reqs).first()
-    assert out.raw_response == "Error: RuntimeError"
+    assert out.raw_response == "Error: Exception occurred"
 
 
 def test_response_status_forms_agree(spark):

@@ -66,3 +66,113 @@ def test_chunks_files(spark):
     from docketline.operators.inference import sse_fold
     out = {r.request_id: r.response for r in sse_fold(readers.read_chunks(spark, d)).collect()}
     assert out == {"req1": "a b"}
+
+
+def test_arrays_lose_nothing(spark):
+    """Elements, quarantined rows and their sum; the book is the file's name."""
+    d = tempfile.mkdtemp(prefix="ar-")
+    _write(d, "77.json", json.dumps([{"id": i, "entryOriginal": "x" * 1000} for i in range(50)]))
+    _write(d, "bad.json", '[{"id": 1}, 5, {"id": 2, "id": 3}, {"id": ')
+    _write(d, "none.json", "oops")
+    _write(d, "empty.json", " [ ] ")
+    raw = readers.array_rows(spark, d)
+    good, bad = readers.parse_entries(raw), readers.quarantine(raw)
+    assert good.count() + bad.count() == raw.count() == 55
+    rows = {(r.court_book_id, r.pos): r for r in good.collect()}
+    assert {k[0] for k in rows} == {"77", "bad"} and rows[("bad", 2)].line_id == "3"  # the last of a repeated key
+    assert sorted((r.court_book_id, r.pos, bool(r.reason)) for r in bad.collect()) == [("bad", 1, True), ("bad", 3, True), ("none", 0, True)]
+
+
+def test_large_array_file(spark):
+    d = tempfile.mkdtemp(prefix="big-")
+    _write(d, "B.json", "[" + ",".join(json.dumps({"id": i, "entryOriginal": "y" * 100_000}) for i in range(1400)) + "]")
+    assert readers.read_entry_arrays(spark, d).count() == 1400
+
+
+def test_dates_out_of_range_are_invalid(spark):
+    rows = [(i, json.dumps({"id": i, "entryDate": v})) for i, v in enumerate([10**18, -10**18, 10**30, None, "x", 1.5e12, 0, 253402300799999, 253402300800000])]
+    got = readers.parse_entries(spark.createDataFrame(rows, "pos long, raw string")).orderBy("pos").collect()
+    assert [r.entry_date_valid for r in got] == [False, False, False, False, False, True, True, True, False]
+
+
+def test_job_over_raw_rows(spark):
+    """Quarantine, the book from the request, answers of earlier runs, errors a
+    row, and untouched entries."""
+    from docketline.operators import inference
+    from docketline.plans.chronology import run_chronology
+    texts = ["first text.", "second text.", "third text.", "fourth text."]
+    objects = [{"id": i, "handwritten": "false", "relevant": "Relevant", "entryOriginal": f"<p>{t}</p>"} for i, t in enumerate(texts)]
+    objects.append({"id": 9, "k": "v"})
+    raw = spark.createDataFrame([("77", i, json.dumps(o)) for i, o in enumerate(objects)] + [("77", 8, "{broken")], "court_book_id string, pos long, raw string")
+    items = spark.createDataFrame([], "id string, description string, load_order long")
+    prompts = spark.createDataFrame([(1, "P")], "prompt_id int, prompt_text string")
+
+    def call(client, frame):
+        if any("second" in t for t in frame["text"]):
+            raise ValueError("no")
+        return ["* seen " + t for t in frame["text"]]
+
+    cached = spark.createDataFrame([("first text.", "* cached"), ("third text.", "Error: timeout")], "t string, raw_response string")
+    from pyspark.sql import functions as F
+    cached = cached.select(inference.request_hash(F.col("t"), F.lit("P")).alias("request_hash"), "raw_response")
+    run = run_chronology(raw, items, prompts, scorer=inference.pandas_scorer(call), answered=cached)
+    got = {r.line_id: (r.response, r.status) for r in run.parts.collect()}
+    assert got["0"] == ("AI Summary\n* cached", "summary") and got["1"] == ("Error: Exception occurred", "error")
+    assert got["2"][0] == "AI Summary\n* seen third text." and got["3"][0] == "AI Summary\n* seen fourth text."
+    payload = {r.line_id: json.loads(r.payload) for r in run.payload.collect()}
+    assert payload["9"] == objects[4] and "cached" in payload["0"]["entryFinal"]
+    assert [(r.pos, r.reason) for r in run.quarantine.collect()] == [(8, "not a JSON object")]
+    responses = spark.createDataFrame([("a", "* x"), ("b", "Error: y"), ("c", None), ("a", "* x")], "request_hash string, raw_response string")
+    assert [r.request_hash for r in inference.cacheable(responses).collect()] == ["a"]
+    assert sorted(r.request_hash for r in inference.retry_table(responses).collect()) == ["b", "c"]
+
+
+def test_previous_value_with_more_columns(spark):
+    from conftest import SF01
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from docketline.operators.ordered import previous_non_null
+    ev = spark.read.parquet(f"{SF01}/events.parquet").withColumn("v", F.when(F.col("event_id") % 3 > 0, F.col("user_id")))
+    got = previous_non_null(ev, "event_type", ["ts", "event_id"], "v", "prev", n_blocks=13)
+    w = Window.partitionBy("event_type").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
+    want = ev.withColumn("prev", F.last("v", ignorenulls=True).over(w))
+    assert got.select("event_id", "prev").exceptAll(want.select("event_id", "prev")).count() == 0 and got.count() == ev.count()
+
+
+def test_writers_round_trip(spark):
+    from docketline import sinks
+    d = tempfile.mkdtemp(prefix="sk-")
+    rows = spark.createDataFrame([(b, i, f"t{i}\nx,\"y\"") for b in ("007", "b c") for i in range(120)], "court_book_id string, first_index long, payload string")
+    sinks.write_sheet(rows, f"{d}/sheet")
+    back = spark.read.schema(rows.schema).parquet(f"{d}/sheet").select(*rows.columns)
+    assert sorted(back.collect()) == sorted(rows.collect())
+    sinks.write_payload(rows, f"{d}/payload")
+    assert len(os.listdir(f"{d}/payload")) >= 2
+    delta = rows.selectExpr("court_book_id", "'r1' as run_id", "payload")
+    for _ in range(2):
+        sinks.write_delta(delta, f"{d}/delta")
+    assert spark.read.parquet(f"{d}/delta").count() == 240
+    sinks.archive(rows, f"{d}/archive", "r1")
+    assert spark.read.parquet(f"{d}/archive").where("run_id = 'r1'").count() == 240
+    parts = rows.withColumnsRenamed({"first_index": "index"}).selectExpr("*", "index div 50 + 1 as batch_no")
+    sinks.write_parts(parts, f"{d}/parts")
+    back = sinks.read_parts(spark, f"{d}/parts", parts.schema)
+    assert back.count() == 240 and {r[0] for r in back.select("court_book_id").distinct().collect()} == {"007", "b c"}
+
+
+def test_checkpoint_folder_is_asked_for_on_a_cluster():
+    import pytest
+
+    from docketline.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("C", (), {"master": "spark://host:7077"})()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
