@@ -20,8 +20,8 @@ CONTINUATION = bytes(range(0x80, 0xC0))
 
 def prepare(spark: SparkSession) -> None:
     """Keep Arrow batches small, so that long texts don't fill a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -55,12 +55,13 @@ from docketline.llm.components import components
 SHINGLE = 5
 PERCENT = 75
 PART_TOKENS = 2_000_000
-MIN_PARTS = 24
-BUFFER_TOKENS = 1_000_000
+MIN_PARTS = 64
+BUFFER_TOKENS = 500_000
 SKETCH_BITS = 20
 CELL = 512
 SMALL_BUCKET = 48
 LEAF = 512
+BIG = 64
 BLOOM_BITS = 1 << 23
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -384,6 +385,10 @@ def cell_links(side: list[int], cls: list[int], comp: list[int], sets: list[np.n
 
 def _cell(table: pa.Table) -> pa.Table:
     side, cls, comp = (table.column(c).to_pylist() for c in ("side", "cls", "comp"))
+    kind, _, leaves = table.column("k2")[0].as_py().partition(" ")
+    apart = kind in ("big", "pairs") or kind == "leaf" and len(set(leaves.split("|"))) == 2
+    if apart and len(set(side)) < 2:  # two leaves are to be joined, and one is empty
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
     found = cell_links(side, cls, comp, [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()])
     return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
@@ -405,8 +410,8 @@ def _near_links(postings: DataFrame, sets: DataFrame) -> DataFrame:
     pairs = materialize(pairs, "centres")
     cuts = pairs.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / F.lit(CELL)).cast("int").alias("cuts")).select(F.col("centre").alias("c"), "cuts")
     members = (pairs.join(cuts, F.col("centre") == F.col("c"))
-               .select(F.col("centre").alias("k1"), F.pmod(F.xxhash64("cls"), F.col("cuts")).cast("string").alias("k2"), "cls"))
-    heads = cuts.select(F.col("c").alias("k1"), F.explode(F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda i: i.cast("string"))).alias("k2"), F.col("c").alias("cls"))
+               .select(F.col("centre").alias("k1"), F.concat(F.lit("near "), F.pmod(F.xxhash64("cls"), F.col("cuts")).cast("string")).alias("k2"), "cls"))
+    heads = cuts.select(F.col("c").alias("k1"), F.explode(F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda i: F.concat(F.lit("near "), i.cast("string")))).alias("k2"), F.col("c").alias("cls"))
     cells = members.unionByName(heads).withColumns({"side": F.lit(0), "comp": F.col("cls")})
     return _join_cells(cells, sets, "near-links")
 
@@ -433,28 +438,50 @@ def _other_links(postings: DataFrame, sets: DataFrame, roots: DataFrame) -> Data
     return _join_cells(right.unionByName(head).unionByName(cells), sets, "other-links")
 
 
+def _spots(rows: DataFrame, key: str, by: str, size: str) -> DataFrame:
+    """Rows with ``spot`` and ``cut``: which of ``cut`` leaves of LEAF rows each
+    is in, by a hash of ``by``; ``size`` counts the rows of a key."""
+    cut = F.ceil(F.col(size) / F.lit(LEAF)).cast("int")
+    return rows.withColumn("cut", cut).withColumn("spot", F.pmod(F.xxhash64(by), F.col("cut")).cast("int"))
+
+
+def _counted(rows: DataFrame, key: str, out: str) -> DataFrame:
+    n = rows.groupBy(key).agg(F.count(F.lit(1)).alias(out)).withColumnRenamed(key, "n_key")
+    return rows.join(n, F.col(key) == F.col("n_key")).drop("n_key")
+
+
 def _leaf_cells(many: DataFrame) -> DataFrame:
-    """The classes of a frequent shingle, cut into leaves and joined leaf by
-    leaf. A component with more than a leaf's classes has leaves of its own,
-    which are joined with all leaves but each other, as it is joined already."""
-    own = many.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
-    rest = own.where(F.col("c") <= LEAF).groupBy("token").agg(F.sum("c").alias("rest")).withColumnRenamed("token", "r_token")
-    own = own.join(rest, F.col("token") == F.col("r_token"), "left").select(F.col("token").alias("o_token"), F.col("comp").alias("o_comp"), "c", "rest")
-    big = F.col("c") > LEAF
-    cut = F.ceil(F.when(big, F.col("c")).otherwise(F.col("rest")) / F.lit(LEAF))
-    spot = F.pmod(F.when(big, F.xxhash64("cls")).otherwise(F.xxhash64("comp")), cut).cast("string")
-    m = many.join(own, (F.col("token") == F.col("o_token")) & (F.col("comp") == F.col("o_comp")))
-    m = m.select("token", "cls", "comp", F.when(big, F.col("comp").cast("string")).otherwise("").alias("group"), spot.alias("spot"))
-    m = materialize(m.withColumn("leaf", F.concat_ws("/", "group", "spot")), "leaves")
-    leaves = m.select("token", "leaf", "group").distinct()
-    x, y = (leaves.select(*[F.col(c).alias(f"{s}_{c}") for c in ("token", "leaf", "group")]) for s in "xy")
-    apart = (F.col("x_group") != F.col("y_group")) | (F.col("x_group") == "")
-    both = x.join(y, (F.col("x_token") == F.col("y_token")) & (F.col("x_leaf") <= F.col("y_leaf")) & apart)
-    both = both.select(F.col("x_token").alias("k1"), F.concat_ws("|", "x_leaf", "y_leaf").alias("k2"), F.explode(F.when(
-        F.col("x_leaf") == F.col("y_leaf"), F.array(F.struct(F.lit(0).alias("side"), F.col("x_leaf").alias("l")))).otherwise(
-        F.array(F.struct(F.lit(0).alias("side"), F.col("x_leaf").alias("l")), F.struct(F.lit(1).alias("side"), F.col("y_leaf").alias("l"))))).alias("s"))
-    both = both.select("k1", "k2", "s.side", F.col("s.l").alias("l"))
-    return m.join(both, (F.col("token") == F.col("k1")) & (F.col("leaf") == F.col("l"))).select("k1", "k2", "side", "cls", "comp")
+    """Cells for the classes of frequent shingles, cut into leaves.
+
+    A component with more than BIG classes of one shingle is joined, once for
+    all its shingles, with the classes of other components that share any of
+    them. The other classes of a shingle are joined with each other."""
+    per = many.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
+    per = materialize(per.select(F.col("token").alias("p_token"), F.col("comp").alias("p_comp"), (F.col("c") > BIG).alias("big")), "bucket-parts")
+    bigs = per.where("big")
+    names = bigs.select(F.col("p_comp").alias("b_comp")).distinct()
+    # each big component with its own classes and with those it meets
+    own = many.join(bigs, (F.col("token") == F.col("p_token")) & (F.col("comp") == F.col("p_comp"))).select("comp", "cls").distinct()
+    met = (many.join(bigs.select(F.col("p_token").alias("t"), F.col("p_comp").alias("B")), (F.col("token") == F.col("t")) & (F.col("comp") != F.col("B")))
+           .select("B", "cls", "comp").distinct().join(names, F.col("comp") == F.col("b_comp"), "left")
+           .where(F.col("b_comp").isNull() | (F.col("B") < F.col("comp"))).drop("b_comp"))
+    met = materialize(_spots(_counted(met, "B", "size"), "B", "cls", "size"), "met")
+    own = materialize(_spots(_counted(own, "comp", "size"), "comp", "cls", "size"), "own")
+    met_cuts = met.groupBy("B").agg(F.max("cut").alias("others")).withColumnRenamed("B", "x")
+    own_cuts = own.groupBy("comp").agg(F.max("cut").alias("others")).withColumnRenamed("comp", "x")
+    left = (own.join(met_cuts, F.col("comp") == F.col("x")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+            .select(F.col("comp").alias("k1"), F.format_string("big %d|%d", "spot", "o").alias("k2"), F.lit(0).alias("side"), "cls", "comp"))
+    right = (met.join(own_cuts, F.col("B") == F.col("x")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+             .select(F.col("B").alias("k1"), F.format_string("big %d|%d", "o", "spot").alias("k2"), F.lit(1).alias("side"), "cls", "comp"))
+    # the rest of each shingle
+    rest = many.join(per.where("not big"), (F.col("token") == F.col("p_token")) & (F.col("comp") == F.col("p_comp"))).select("token", "cls", "comp")
+    sizes = (rest.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .where("lo < hi").select(F.col("token").alias("r_token"), "size"))
+    rest = _spots(rest.join(sizes, F.col("token") == F.col("r_token")), "token", "comp", "size")
+    rest = rest.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
+    small = rest.select(F.col("token").alias("k1"), F.format_string("leaf %d|%d", F.least("spot", "o"), F.greatest("spot", "o")).alias("k2"),
+                        (F.col("spot") > F.col("o")).cast("int").alias("side"), "cls", "comp")
+    return left.unionByName(right).unionByName(small)
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

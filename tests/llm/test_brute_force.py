@@ -319,6 +319,7 @@ def test_components_match_brute_force(spark, monkeypatch, small, leaf, cell):
     monkeypatch.setattr(signature_tree, "SMALL_BUCKET", small)
     monkeypatch.setattr(signature_tree, "LEAF", leaf)
     monkeypatch.setattr(signature_tree, "CELL", cell)
+    monkeypatch.setattr(signature_tree, "BIG", max(1, leaf // 4))
     passage = " ".join(f"p{i}" for i in range(60))
     texts = [None, "", "one", "one", "One two", "a b c d e", "A B c d e", " ".join(["z"] * 30)]
     for g in range(12):
