@@ -46,6 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +59,8 @@ PART_TOKENS = 2_000_000
 MIN_PARTS = 64
 BUFFER_TOKENS = 500_000
 SKETCH_BITS = 20
+SKETCH_SLICES = 16
+SKETCH_FAN = 16
 CELL = 512
 SMALL_BUCKET = 48
 LEAF = 512
@@ -235,9 +238,11 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # -- 2. order and prefixes
 
 def _sketch(sets: DataFrame) -> np.ndarray:
-    """A class of frequency for each of 2 ** SKETCH_BITS hash buckets."""
-    slices = 16
-    width = (1 << SKETCH_BITS) // slices
+    """A class of frequency for each of 2 ** SKETCH_BITS hash buckets. Tables of
+    counts are added SKETCH_FAN at a time, so a task holds a few MB however many
+    tasks have counted."""
+    width = (1 << SKETCH_BITS) // SKETCH_SLICES
+    ddl = "slice int, turn int, counts binary"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -245,17 +250,23 @@ def _sketch(sets: DataFrame) -> np.ndarray:
             for blob in b.column(0).to_pylist():
                 np.add.at(total, (np.frombuffer(blob, np.uint64) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
         if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array(
-                [total[i * width:(i + 1) * width].tobytes() for i in range(slices)], pa.binary())], names=["slice", "counts"])
+            turn = TaskContext.get().partitionId()
+            for i in range(SKETCH_SLICES):
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([turn], pa.int32()), pa.array(
+                    [total[i * width:(i + 1) * width].tobytes()], pa.binary())], names=["slice", "turn", "counts"])
 
     def add(t: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, np.int64) for x in t.column("counts").to_pylist())
-        return pa.table({"slice": t.column("slice")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
-
-    rows = (sets.select("tokens").mapInArrow(count, "slice int, counts binary").groupBy("slice")
-            .applyInArrow(add, "slice int, counts binary").collect())  # 8 MB, whatever the input
+        total = np.zeros(width, np.int64)
+        for blob in t.column("counts"):
+            total += np.frombuffer(blob.as_buffer(), np.int64)
+        return pa.table({"slice": t.column("slice")[:1], "turn": t.column("turn")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    sums, tables = sets.select("tokens").mapInArrow(count, ddl), sets.rdd.getNumPartitions()
+    while tables > 1:
+        sums = (sums.withColumn("turn", F.floor(F.col("turn") / F.lit(SKETCH_FAN)).cast("int")).groupBy("slice", "turn").applyInArrow(add, ddl))
+        tables = -(-tables // SKETCH_FAN)
     total = np.zeros(1 << SKETCH_BITS, np.int64)
-    for r in rows:
+    for r in sums.collect():  # 8 MB, whatever the input
         total[r["slice"] * width:(r["slice"] + 1) * width] = np.frombuffer(r["counts"], np.int64)
     usual = total.mean()
     high = total > 3 * usual + 16
