@@ -13,12 +13,13 @@ sets form a class; from here on a class is one row, however many copies it has.
 2. *Near copies, cheaply.* The remaining classes are put in an order of shingles
    (rare before frequent by a count sketch of fixed size, then by hash). Two
    sets that link share a shingle among the first n - ceil(0.75 n) + 1 of each
-   (prefix filter). Every prefix shingle names its least class as a centre; each
-   centre's classes are cut into bounded cells and joined there by a signature
-   tree. Components of the found links are drawn together.
+   (prefix filter). Every prefix shingle names its least class as a centre; a
+   class goes to the centre that most of its shingles name. Each centre's classes
+   are cut into bounded cells and joined there by a signature tree. Components of
+   the found links are drawn together.
 3. *The rest, exactly.* Only shingles whose classes still lie in different
-   components are looked at again: all pairs across components that the size and
-   position bounds allow are verified; a shingle with many classes is split into
+   components are looked at again: all pairs across components that the bounds by
+   size, position and number of shared prefix shingles allow are verified; a shingle with many classes is split into
    leaf by leaf cells, each again joined by signature trees.
 
 A cell's tree holds, for each node, the OR of its sets' token bitmaps and the
@@ -416,8 +417,10 @@ def _join_cells(cells: DataFrame, sets: DataFrame, name: str) -> DataFrame:
 def _near_links(postings: DataFrame, sets: DataFrame) -> DataFrame:
     centres = (postings.groupBy("token").agg(F.min("cls").alias("centre"), F.count(F.lit(1)).alias("m"))
                .where(F.col("m") > 1).select(F.col("token").alias("t"), "centre"))
-    pairs = (postings.join(centres, F.col("token") == F.col("t")).where(F.col("cls") != F.col("centre"))
-             .select("centre", "cls").distinct())
+    # each class goes to the centre that most of its prefix shingles name
+    votes = (postings.join(centres, F.col("token") == F.col("t")).where(F.col("cls") != F.col("centre"))
+             .groupBy("cls", "centre").agg(F.count(F.lit(1)).alias("votes")))
+    pairs = votes.groupBy("cls").agg(F.min(F.struct(-F.col("votes"), "centre")).alias("best")).select("best.centre", "cls")
     pairs = materialize(pairs, "centres")
     cuts = pairs.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / F.lit(CELL)).cast("int").alias("cuts")).select(F.col("centre").alias("c"), "cuts")
     members = (pairs.join(cuts, F.col("centre") == F.col("c"))
@@ -437,10 +440,21 @@ def _other_links(postings: DataFrame, sets: DataFrame, roots: DataFrame) -> Data
     a, b = (few.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("cls", "n", "place", "comp")]) for s in "xy")
     b = b.withColumnRenamed("token", "token2")
     lo, hi = F.least("x_n", "y_n"), F.greatest("x_n", "y_n")
-    left = 1 + F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place")) - 1
-    near = (100 * lo >= PERCENT * hi) & ((100 + PERCENT) * left >= PERCENT * (F.col("x_n") + F.col("y_n")))
-    pairs = (a.join(b, (F.col("token") == F.col("token2")) & (F.col("x_cls") < F.col("y_cls")) & (F.col("x_comp") != F.col("y_comp")) & near)
-             .select("x_cls", "x_comp", "y_cls", "y_comp").distinct())
+    both = F.col("x_n") + F.col("y_n")
+    after = F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place"))
+    pairs = (a.join(b, (F.col("token") == F.col("token2")) & (F.col("x_cls") < F.col("y_cls")) & (F.col("x_comp") != F.col("y_comp")) & (100 * lo >= PERCENT * hi))
+             .groupBy("x_cls", "x_n", "x_comp", "y_cls", "y_n", "y_comp")
+             .agg(F.count(F.lit(1)).alias("seen"), F.max(after).alias("after")))
+    # Whichever prefix ends first: shingles of both sets up to its end are in both
+    # prefixes, seen here or among the frequent ones; the rest is what lies behind it.
+    often = p.where(F.col("m") > SMALL_BUCKET).groupBy("cls").agg(F.count(F.lit(1)).alias("often"))
+    for s in "xy":
+        pairs = (pairs.join(often.select(F.col("cls").alias("o_cls"), F.col("often").alias(f"{s}_often")), F.col(f"{s}_cls") == F.col("o_cls"), "left")
+                 .drop("o_cls"))
+    hidden = F.least(F.coalesce("x_often", F.lit(0)), F.coalesce("y_often", F.lit(0)))
+    behind = F.ceil(F.lit(PERCENT) * hi / F.lit(100)) - 1
+    pairs = (pairs.where((100 + PERCENT) * (F.col("seen") + hidden + behind) >= PERCENT * both)
+             .where((100 + PERCENT) * (F.col("after") + hidden) >= PERCENT * both).select("x_cls", "x_comp", "y_cls", "y_comp"))
     pairs = pairs.withColumn("k2", F.concat(F.lit("pairs "), F.pmod(F.xxhash64("y_cls"), F.lit(16)).cast("string")))
     key = [F.col("x_cls").alias("k1"), "k2"]
     right = pairs.select(*key, F.lit(1).alias("side"), F.col("y_cls").alias("cls"), F.col("y_comp").alias("comp"))
