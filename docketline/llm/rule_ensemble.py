@@ -148,6 +148,7 @@ def learn(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
     table = materialize(table.select("id", held_out(F.col("id")).alias("held_out"), "stats"), "text-statistics")
     y = labels.select(F.col(f"`{id_col}`").alias("label_id"), F.col(f"`{label_col}`").alias("label"))
     train = table.where(~F.col("held_out")).join(y, F.col("id") == F.col("label_id")).select("stats", "label")
+    train = materialize(train, "labelled-statistics")  # training passes over it many times
     return fit(train, "stats", "label", **kw), table
 
 
