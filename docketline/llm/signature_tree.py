@@ -43,12 +43,12 @@ id); null ids are never a component's id unless all ids in it are null.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketline.llm.common import fresh, materialize
@@ -197,28 +197,37 @@ def _shared(table: pa.Table) -> pa.Table:
     })
 
 
-def _surviving_texts(docs: DataFrame, id_col: str, text_col: str, chosen: DataFrame) -> DataFrame:
-    """(cls, text) of the chosen representatives. A fixed-size bit table of their
-    ids keeps the other texts out of the shuffle; it is only a filter."""
-    spot = F.pmod(F.xxhash64("id"), F.lit(BLOOM_BITS))
-    rows = (chosen.select(F.bitmap_bucket_number(spot).alias("b"), F.bitmap_bit_position(spot).alias("p"))
-            .groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")).collect())  # <= 256 rows of 4 KB
+def _among(ids: DataFrame) -> Callable[[Column], Column]:
+    """A test on a column of long ids: true for all of ``ids``, and for others by
+    chance. The bit table behind it has a fixed size, so it only saves shuffles:
+    what it lets through is still to be joined."""
+    def spot(col: Column) -> Column:
+        return F.pmod(F.xxhash64(col), F.lit(BLOOM_BITS))
+
+    at = spot(F.col("id"))
+    rows = (ids.select(F.bitmap_bucket_number(at).alias("b"), F.bitmap_bit_position(at).alias("p"))
+            .groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")).collect())  # <= 257 rows of 4 KB
     table = np.zeros(BLOOM_BITS // 8 + 4096, np.uint8)
     for r in rows:
-        at = (r["b"] - 1) * 4096 if r["b"] else 0
-        table[at:at + 4096] |= np.frombuffer(r["bits"], np.uint8)
+        start = (r["b"] - 1) * 4096 if r["b"] else 0
+        table[start:start + 4096] |= np.frombuffer(r["bits"], np.uint8)
 
     def run(spots: pa.Array) -> pa.Array:
         s = spots.to_numpy(zero_copy_only=False).astype(np.int64)
         # bucket and place as bitmap_bucket_number and bitmap_bit_position number them
         bucket, place = np.where(s > 0, 1 + (s - 1) // 32768, 0), np.where(s > 0, (s - 1) % 32768, 0)
-        at = np.where(bucket > 0, (bucket - 1) * 4096, 0) + place // 8
-        return pa.array((table[at] >> (place % 8).astype(np.uint8)) & 1 == 1)
+        byte = np.where(bucket > 0, (bucket - 1) * 4096, 0) + place // 8
+        return pa.array((table[byte] >> (place % 8).astype(np.uint8)) & 1 == 1)
 
     run.__annotations__ = {"spots": pa.Array, "return": pa.Array}
-    near = F.arrow_udf(run, "boolean")
+    test = F.arrow_udf(run, "boolean")
+    return lambda col: test(spot(col))
+
+
+def _surviving_texts(docs: DataFrame, id_col: str, text_col: str, chosen: DataFrame) -> DataFrame:
+    """(cls, text) of the chosen representatives."""
     d = docs.select(F.col(f"`{id_col}`").cast("long").alias("d_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    d = d.where(near(F.pmod(F.xxhash64("d_id"), F.lit(BLOOM_BITS))))
+    d = d.where(_among(chosen)(F.col("d_id")))
     c = chosen.select("id", "cls")
     return d.join(c, d["d_id"].eqNullSafe(c["id"])).select("cls", "text")
 
@@ -556,13 +565,16 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component: the row with the component's id (of
-    repeated rows with that id, one of each text stays)."""
-    found = link_components(docs, id_col, text_col)
-    leaders = materialize(found.where(F.col("id").eqNullSafe(F.col("component"))).select("id").distinct(), "leaders")
-    lead = fresh(docs, "leader_id")
-    kept = docs.join(leaders.withColumnRenamed("id", lead), F.col(f"`{id_col}`").eqNullSafe(F.col(lead)), "left_semi")
-    return kept.dropDuplicates([id_col, text_col]) if _repeated(found) else kept
-
-
-def _repeated(found: DataFrame) -> bool:
-    return not found.groupBy("id").count().where("count > 1").isEmpty()
+    repeated rows with that id, one of each text stays). Only documents that a
+    fixed-size bit table takes for dropped ones are shuffled, to be joined with
+    the ids that go; all others stay where they are."""
+    ids = link_components(docs, id_col, text_col).groupBy("id").agg(
+        F.max(F.col("id").eqNullSafe(F.col("component"))).alias("leads"), F.count(F.lit(1)).alias("n"))
+    ids = materialize(ids, "leaders")
+    gone = ids.where(~F.col("leads")).select("id")
+    doubtful = _among(gone)(F.col(f"`{id_col}`").cast("long"))
+    out = fresh(docs, "gone_id")
+    sure = docs.where(~doubtful)
+    checked = docs.where(doubtful).join(gone.withColumnRenamed("id", out), F.col(f"`{id_col}`").eqNullSafe(F.col(out)), "left_anti")
+    kept = sure.union(checked)
+    return kept if ids.where("n > 1").isEmpty() else kept.dropDuplicates([id_col, text_col])
