@@ -487,18 +487,18 @@ def _counted(rows: DataFrame, key: str, out: str) -> DataFrame:
 def _leaf_cells(many: DataFrame) -> DataFrame:
     """Cells for the classes of frequent shingles, cut into leaves.
 
-    A component with more than BIG classes of one shingle is joined, once for
-    all its shingles, with the classes of other components that share any of
-    them. The other classes of a shingle are joined with each other."""
+    A component with more than BIG classes of a shingle is joined, once for all
+    such shingles, with the classes of other components that share any of them;
+    of two components that are big on the same shingle the lesser is joined with
+    the other. The other classes of a shingle are joined with each other."""
     per = many.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
     per = materialize(per.select(F.col("token").alias("p_token"), F.col("comp").alias("p_comp"), (F.col("c") > BIG).alias("big")), "bucket-parts")
-    bigs = per.where("big")
-    names = bigs.select(F.col("p_comp").alias("b_comp")).distinct()
+    bigs = per.where("big").select(F.col("p_token").alias("t"), F.col("p_comp").alias("B"))
+    many = many.join(per, (F.col("token") == F.col("p_token")) & (F.col("comp") == F.col("p_comp"))).select("token", "cls", "comp", "big")
     # each big component with its own classes and with those it meets
-    own = many.join(bigs, (F.col("token") == F.col("p_token")) & (F.col("comp") == F.col("p_comp"))).select("comp", "cls").distinct()
-    met = (many.join(bigs.select(F.col("p_token").alias("t"), F.col("p_comp").alias("B")), (F.col("token") == F.col("t")) & (F.col("comp") != F.col("B")))
-           .select("B", "cls", "comp").distinct().join(names, F.col("comp") == F.col("b_comp"), "left")
-           .where(F.col("b_comp").isNull() | (F.col("B") < F.col("comp"))).drop("b_comp"))
+    own = many.where("big").select("comp", "cls").distinct()
+    met = (many.join(bigs, (F.col("token") == F.col("t")) & (F.col("comp") != F.col("B")))
+           .where(~F.col("big") | (F.col("B") < F.col("comp"))).select("B", "cls", "comp").distinct())
     met = materialize(_spots(_counted(met, "B", "size"), "B", "cls", "size"), "met")
     own = materialize(_spots(_counted(own, "comp", "size"), "comp", "cls", "size"), "own")
     met_cuts = met.groupBy("B").agg(F.max("cut").alias("others")).withColumnRenamed("B", "x")
@@ -508,7 +508,7 @@ def _leaf_cells(many: DataFrame) -> DataFrame:
     right = (met.join(own_cuts, F.col("B") == F.col("x")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
              .select(F.col("B").alias("k1"), F.format_string("big %d|%d", "o", "spot").alias("k2"), F.lit(1).alias("side"), "cls", "comp"))
     # the rest of each shingle
-    rest = many.join(per.where("not big"), (F.col("token") == F.col("p_token")) & (F.col("comp") == F.col("p_comp"))).select("token", "cls", "comp")
+    rest = many.where("not big").select("token", "cls", "comp")
     sizes = (rest.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .where("lo < hi").select(F.col("token").alias("r_token"), "size"))
     rest = _spots(rest.join(sizes, F.col("token") == F.col("r_token")), "token", "comp", "size")

@@ -341,6 +341,34 @@ def test_components_match_brute_force(spark, monkeypatch, small, leaf, cell):
     assert got == brute_components(texts)
 
 
+def leaf_pairs(spark, rows):
+    """The pairs of classes that some cell of ``_leaf_cells`` joins."""
+    cells = {}
+    for r in signature_tree._leaf_cells(spark.createDataFrame(rows, "token long, cls long, comp long")).collect():
+        cells.setdefault((r["k1"], r["k2"]), []).append((r["side"], r["cls"]))
+    return {frozenset((x, y)) for c in cells.values() for (s, x), (o, y) in itertools.combinations(c, 2) if s != o or len({s for s, _ in c}) == 1}
+
+
+def test_components_big_on_different_shingles_meet(spark):
+    """Component 1 is big on shingle 2 only, component 1000 on shingle 1 only;
+    they share shingle 1."""
+    n = signature_tree.BIG + 1
+    one, two = list(range(1, n + 1)), list(range(1000, 1000 + n))
+    rows = [(2, c, 1) for c in one] + [(1, c, 1) for c in one[:3]] + [(1, c, 1000) for c in two]
+    assert leaf_pairs(spark, rows) >= {frozenset((x, y)) for x in one[:3] for y in two}
+
+
+def test_every_pair_of_a_frequent_shingle_meets(spark, monkeypatch):
+    monkeypatch.setattr(signature_tree, "BIG", 2)
+    monkeypatch.setattr(signature_tree, "LEAF", 3)
+    rng = random.Random(6)
+    comp = {c: rng.randrange(6) for c in range(60)}
+    rows = [(t, c, comp[c]) for t in range(12) for c in rng.sample(range(60), rng.randrange(2, 16))]
+    met = leaf_pairs(spark, rows)
+    for (t, x, p), (u, y, q) in itertools.combinations(rows, 2):
+        assert t != u or p == q or frozenset((x, y)) in met, (t, x, y)
+
+
 def test_tree_descent_misses_no_link():
     rng = np.random.default_rng(1)
     base = [rng.integers(0, 2**63, n, dtype=np.uint64) for n in (40, 200, 600)]
