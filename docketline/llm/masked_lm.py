@@ -13,7 +13,8 @@ sums to one over all tokens.
 1. One pass hashes the texts and writes two bytes a token.
 2. Token counts over all documents are summed by Spark in slices.
 3. Training: in each round every task starts from the same weights and trains on
-   masked positions of all its documents (one in MASK, another set each round);
+   masked positions of all its documents (one in MASK, another residue each
+   round, by document and place; the rounds together mask every position once);
    Spark averages the tasks' weights in slices, weighted by positions. What is
    gathered is a fixed 1.6 MB a task and round, so it follows the input.
 4. Scoring: every token of every document, in blocks.
@@ -43,8 +44,9 @@ CONTEXT_BITS = 12
 SIDE = 2
 HIDDEN = 24
 CLASSES = 64
-MASK = 32
 ROUNDS = 3
+#: As many as rounds: every position is a target in just one of them.
+MASK = ROUNDS
 BATCH = 2048
 RATE = 0.08
 BLOCK = 1 << 16
@@ -99,6 +101,17 @@ def blocks(texts: list[bytes], tokens: int = 400_000) -> Iterator[tuple[int, int
         yield start, len(texts)
 
 
+def targets(ids: np.ndarray, doc: np.ndarray, r: int, mask: int = MASK) -> np.ndarray:
+    """The positions that round ``r`` masks: those whose hash of text id and place
+    in the text has the round's residue. Every position is in one residue."""
+    place = np.arange(len(doc)) - np.searchsorted(doc, doc)
+    with np.errstate(over="ignore"):
+        h = ids.astype(np.int64).view(np.uint64)[doc] * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64)
+        h ^= h >> np.uint64(31)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+    return np.flatnonzero((h >> np.uint64(33)) % np.uint64(mask) == r % mask)
+
+
 class Network:
     """softmax(tanh(sum of a row for each context place + b) W + c)."""
 
@@ -136,9 +149,11 @@ class Network:
         d /= len(target)
         dh = (d @ self.parts[2].T) * (1 - h * h)
         flat = rows.ravel(order="F")
-        used, where = np.unique(flat, return_inverse=True)
-        g = np.zeros((len(used), HIDDEN), np.float32)
-        np.add.at(g, where, np.tile(dh, (rows.shape[1], 1)))
+        order = np.argsort(flat.astype(np.uint16), kind="stable")  # there are 2 * SIDE << CONTEXT_BITS <= 2 ** 16 rows
+        ranked = flat[order]
+        first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+        used = ranked[first]
+        g = np.add.reduceat(dh[order % len(dh)], first, axis=0)
         seen[0][used] += g * g
         self.parts[0][used] -= RATE * g / np.sqrt(seen[0][used] + 1e-8)
         for k, grad in ((1, dh.sum(axis=0)), (2, h.T @ d), (3, d.sum(axis=0))):
@@ -199,12 +214,10 @@ def train(tokens: DataFrame, cls: np.ndarray, class_mass: np.ndarray, rounds: in
             seen = [np.full(s, 1e-4, np.float32) for s in Network.SHAPES]
             done = 0
             for b in batches:
-                texts = b.column(0).to_pylist()
+                ids, texts = b.column(0).fill_null(0).to_numpy(zero_copy_only=False), b.column(1).to_pylist()
                 for lo, hi in blocks(texts):
-                    token, context, _ = windows(texts[lo:hi])
-                    # a hash of the neighbours picks this round's positions
-                    pick = (context @ np.array([2971, 40503, 9973, 60493], np.int64)[:context.shape[1]] + token * 7919) >> 5
-                    at = np.flatnonzero(pick % mask == r % mask)
+                    token, context, doc = windows(texts[lo:hi])
+                    at = targets(ids[lo:hi], doc, r, mask)
                     for i in range(0, len(at), BATCH):
                         x = at[i:i + BATCH]
                         own.learn(context[x], classes[token[x]], seen)
@@ -212,7 +225,7 @@ def train(tokens: DataFrame, cls: np.ndarray, class_mass: np.ndarray, rounds: in
             if done:
                 yield _slices(np.concatenate((own.weights.astype(np.float64) * done, [float(done)])))
 
-        total = _sum_slices(tokens.select("tokens").mapInArrow(run, "slice int, part binary"), np.float64)
+        total = _sum_slices(tokens.select("id", "tokens").mapInArrow(run, "slice int, part binary"), np.float64)
         if not len(total):
             break
         net = Network((total[:-1] / total[-1]).astype(np.float32))

@@ -132,6 +132,21 @@ def test_context_helps_on_a_patterned_corpus(spark):
     assert r[0] > 0.8 * r[1]
 
 
+def test_every_position_is_a_target_once(spark):
+    """With the production rounds and mask, whatever the ids."""
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(1, 9, n, dtype=np.uint16).tobytes() for n in (0, 1, 2, 700, 0, 31, 700)]
+    ids = np.array([7, -5, 0, 3, 3, 2**62, 3])
+    token, _, doc = masked_lm.windows(texts)
+    rounds = [masked_lm.targets(ids, doc, r) for r in range(masked_lm.ROUNDS)]
+    assert sorted(np.concatenate(rounds).tolist()) == list(range(len(token)))
+    assert all(len(at) > 0.25 * len(token) for at in rounds)
+    # texts that are all the same window, so one residue of a hash of the tokens
+    docs = spark.createDataFrame([(i, "a " * 2000 if i % 2 else "b c " * 1000) for i in range(20)], "doc_id long, text string").repartition(1)
+    r = masked_lm.score(docs).selectExpr("sum(log_likelihood)", "sum(unigram_log_likelihood)").first()
+    assert r[0] > 0.5 * r[1]
+
+
 # -- 4
 
 def test_decontaminate_in_slices(spark):
