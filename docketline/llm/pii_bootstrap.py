@@ -1,10 +1,11 @@
 """PII by bootstrapped contextual extraction.
 
 Seeds are what the base expressions find (email, ip, card, phone). Every seed
-and every other number- or key-like string of a text is an instance; the word to
-its left and the word to its right, each with the instance's shape, are the
-lexical patterns it occurs with. Spark scores the graph of patterns and
-instances iteratively:
+and every other number-, key- or address-like string of a text is an instance; the
+word to its left, the word to its right, and both together are the lexical patterns
+it occurs with. An instance's form (digits, dots, letters, '@') says which kinds it
+could be of; a pattern is judged for each kind by the instances that could be of it.
+Spark scores the graph of patterns and instances iteratively:
 
     pattern  = mean score of its distinct instances, drawn down by PRIOR
     instance = 1 for a seed of the kind, else the score of its best pattern
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketline.llm.common import materialize
@@ -50,10 +51,12 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-#: Other instances: runs of at least seven digits with separators, and strings of
-#: at least 16 letters and digits.
+_LETTER = re.compile(r"[A-Za-z]")
+#: Other instances: runs of at least seven digits with separators, strings of at
+#: least 16 letters and digits, and what has an '@' inside.
 _NUMBER = re.compile(r"\+?\(?[0-9](?:[ ().-]{0,2}[0-9]){6,}+")
 _KEY = re.compile(r"(?<![0-9A-Za-z])[0-9A-Za-z]{16,}+")
+_AT = re.compile(r"""(?<![^\s@<>()\[\],;:"'])[^\s@<>()\[\],;:"']{1,64}+@[^\s@<>()\[\],;:"']{1,255}+""")
 _WORD_BEFORE, _WORD_AFTER = re.compile(r"(\S*)\s*\Z"), re.compile(r"\s*(\S*)")
 _CONTEXT = 48
 
@@ -98,16 +101,17 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def shape(s: str) -> str:
-    """Runs of digits with their length, letters as 'a', all else as it stands."""
+def form_kinds(s: str) -> list[str]:
+    """The kinds that a string could be of by its form, a weak test: an address or
+    a key names a user as an email does, a key may stand for a card; numbers go by
+    how many digits they have, and dotted ones may be an ip."""
     if "@" in s:
-        return "@"
-    if s.count(".") == 3 and s.replace(".", "").isdigit():
-        return "9.9.9.9"
-    s = re.sub(r"[A-Za-z]+", "a", s)
-    if "a" in s:
-        return "key"
-    return re.sub(r"[0-9]+", lambda m: f"9{len(m[0])}", s)[:40]
+        return ["email"]
+    if _LETTER.search(s):
+        return ["email", "card"]
+    n = len(_DIGIT.findall(s))
+    fits = {"ip": s.count(".") == 3 and s.replace(".", "").isdigit(), "card": 12 <= n <= 19, "phone": 7 <= n <= 15}
+    return [k for k in KINDS if fits.get(k)]
 
 
 def _word(w: str) -> str:
@@ -125,8 +129,11 @@ def instances(text: str) -> tuple[list[tuple[str, int, int]], list[dict]]:
     base = base_spans(text)
     taken = sorted((a, b) for _, a, b in base)
     found = [(k, a, b) for k, a, b in base]
-    if _DIGIT.search(text):
-        spots = sorted({m.span() for rx in (_NUMBER, _KEY) for m in rx.finditer(text) if _DIGIT.search(m[0])})
+    spots = {m.span() for rx in (_NUMBER, _KEY) for m in rx.finditer(text) if _DIGIT.search(m[0])} if _DIGIT.search(text) else set()
+    if "@" in text:
+        spots |= {(m.start(), m.start() + len(m[0].rstrip(".!?"))) for m in _AT.finditer(text)}
+    if spots:
+        spots = sorted(spots)
         at, end = 0, -1
         for a, b in spots:
             while at < len(taken) and taken[at][1] <= a:
@@ -137,14 +144,14 @@ def instances(text: str) -> tuple[list[tuple[str, int, int]], list[dict]]:
     rows = []
     for k, a, b in found:
         left, right = contexts(text, a, b)
-        rows.append({"kind": k, "start": a, "end": b, "value": text[a:b][:200], "shape": shape(text[a:b]), "left": left, "right": right})
+        rows.append({"kind": k, "start": a, "end": b, "value": text[a:b][:200], "fits": form_kinds(text[a:b]), "left": left, "right": right})
     return base, rows
 
 
-_INSTANCE = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string()), ("shape", pa.string()),
+_INSTANCE = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string()), ("fits", pa.list_(pa.string())),
                        ("left", pa.string()), ("right", pa.string())])
 _DDL = ("id long, task long, row long, base array<struct<kind: string, start: long, end: long>>, "
-        "found array<struct<kind: string, start: long, end: long, value: string, shape: string, left: string, right: string>>")
+        "found array<struct<kind: string, start: long, end: long, value: string, fits: array<string>, left: string, right: string>>")
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
 
@@ -163,16 +170,22 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row += n
 
 
+def _patterns() -> Column:
+    """The lexical patterns of a row: left word, right word, both."""
+    return F.array(F.concat_ws("\t", F.lit("left"), "left"), F.concat_ws("\t", F.lit("right"), "right"), F.concat_ws("\t", F.lit("both"), "left", "right"))
+
+
 def accepted_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """found (kind, value, shape, left, right) -> (pattern, kind, score): the
+    """found (kind, value, fits, left, right) -> (pattern, kind, score): the
     patterns that extract, after ``rounds`` rounds over the graph."""
-    edges = found.select("kind", F.xxhash64("value", "shape").alias("instance"), F.explode(F.array(
-        F.concat_ws("\t", F.lit("left"), "left", "shape"), F.concat_ws("\t", F.lit("right"), "right", "shape"))).alias("pattern"))
-    edges = materialize(edges.distinct(), "pii-graph")
+    own = F.when(F.col("kind").isNotNull(), F.array("kind")).otherwise(F.array().cast("array<string>"))
+    edges = found.select("kind", F.xxhash64("value").alias("instance"), F.array_union("fits", own).alias("fits"), F.explode(_patterns()).alias("pattern"))
+    edges = edges.select("pattern", "instance", "kind", F.explode("fits").alias("of")).groupBy("pattern", "of", "instance").agg(
+        F.max(F.col("kind").eqNullSafe(F.col("of")).cast("double")).alias("seed"))
+    edges = materialize(edges, "pii-graph")
     # only patterns that some seed holds up can ever be accepted
-    held = edges.where(F.col("kind").isNotNull()).groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
-    graph = held.select("pattern", F.col("kind").alias("of"), "seeds").join(edges.select("pattern", F.col("kind").alias("seed"), "instance"), "pattern")
-    graph = graph.groupBy("pattern", "of", "seeds", "instance").agg(F.max((F.col("seed").eqNullSafe(F.col("of"))).cast("double")).alias("seed"))
+    held = edges.groupBy("pattern", "of").agg(F.sum("seed").alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
+    graph = edges.join(held, ["pattern", "of"])
     graph = materialize(graph, "pii-held")
     scores = graph.withColumn("score", F.col("seed"))
     patterns = None
@@ -181,8 +194,7 @@ def accepted_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         patterns = materialize(patterns, "pii-patterns")
         best = (graph.join(patterns.select("pattern", "of", "p"), ["pattern", "of"]).groupBy("instance", "of").agg(F.max("p").alias("best")))
         scores = graph.join(best, ["instance", "of"]).withColumn("score", F.when(F.col("seed") == 1.0, 1.0).otherwise(F.col("best")))
-    top = patterns.where(F.col("p") >= ACCEPT).groupBy("pattern").agg(F.max(F.struct("p", F.col("of").alias("kind"))).alias("t"))
-    return top.select("pattern", F.col("t.kind").alias("kind"), F.col("t.p").alias("score"))
+    return patterns.where(F.col("p") >= ACCEPT).select("pattern", F.col("of").alias("kind"), F.col("p").alias("score"))
 
 
 def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -191,10 +203,10 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     table = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(_extract, _DDL)
     table = materialize(table, "pii-instances")
     one = table.select("task", "row", F.explode("found").alias("f")).select("task", "row", "f.*")
-    patterns = accepted_patterns(one.select("kind", "value", "shape", "left", "right"))
-    new = one.where(F.col("kind").isNull()).select("task", "row", "start", "end", F.explode(F.array(
-        F.concat_ws("\t", F.lit("left"), "left", "shape"), F.concat_ws("\t", F.lit("right"), "right", "shape"))).alias("pattern"))
-    new = (new.join(patterns, "pattern").groupBy("task", "row", "start", "end").agg(F.max(F.struct("score", "kind")).alias("best"))
+    patterns = accepted_patterns(one.select("kind", "value", "fits", "left", "right"))
+    new = one.where(F.col("kind").isNull()).select("task", "row", "start", "end", F.explode("fits").alias("kind"), _patterns().alias("of"))
+    new = new.select("task", "row", "start", "end", "kind", F.explode("of").alias("pattern"))
+    new = (new.join(patterns, ["pattern", "kind"]).groupBy("task", "row", "start", "end").agg(F.max(F.struct("score", "kind")).alias("best"))
            .groupBy("task", "row").agg(F.collect_list(F.struct(F.col("best.kind").alias("kind"), "start", "end")).alias("more"))
            .withColumnsRenamed({"task": "n_task", "row": "n_row"}))
     df = table.select("id", "task", "row", "base").join(new, (F.col("task") == F.col("n_task")) & (F.col("row") == F.col("n_row")), "left")

@@ -461,3 +461,20 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert [(s["kind"], text[100][s["start"]:s["end"]]) for s in got[100]["spans"]] == [("card", odd)]
     assert got[100]["base"] == [] and got[101]["spans"] == [] and got[102]["spans"] == []
     assert all(len(got[i]["base"]) == 1 and got[i]["spans"] == got[i]["base"] for i in range(60))
+
+
+def test_other_forms_are_found_in_seed_contexts(spark):
+    """Phones without '+', key-like ids and addresses, as the seeds around them."""
+    rows = [(i, f"please call +1 555 {100 + i} {4000 + i} now") for i in range(40)]
+    rows += [(100 + i, f"the login of u{i}@mail.example was reset") for i in range(40)]
+    new = {200: ("please call {} now", "555-123-4567", "phone"), 201: ("the login of {} was reset", "a8F3k2Lq9Zx7Rt5Bv1", "email"),
+           202: ("the login of {} was reset", "root@localhost", "email")}
+    rows += [(k, form.format(v)) for k, (form, v, _) in new.items()]
+    rows += [(k + 100, f"part {v} stands") for k, (_, v, _) in new.items()]
+    rows += [(400, "please call a8F3k2Lq9Zx7Rt5Bv2 now"), (401, "please call 1234 now")]  # not what a phone looks like
+    got = {r["id"]: r for r in pii_bootstrap.extract(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    for k, (_, v, kind) in new.items():
+        assert [(s["kind"], text[k][s["start"]:s["end"]]) for s in got[k]["spans"]] == [(kind, v)]
+        assert got[k]["base"] == [] and got[k + 100]["spans"] == []
+    assert got[400]["spans"] == [] and got[401]["spans"] == []
