@@ -5,15 +5,18 @@ and every other number-, key- or address-like string of a text is an instance; t
 word to its left, the word to its right, and both together are the lexical patterns
 it occurs with. An instance's form (digits, dots, letters, '@') says which kinds it
 could be of; a pattern is judged for each kind by the instances that could be of it.
-Spark scores the graph of patterns and instances iteratively:
+Spark scores the graph of patterns and instances in rounds:
 
     pattern  = mean score of its distinct instances, drawn down by PRIOR
-    instance = 1 for a seed of the kind, else the score of its best pattern
+    instance = 1 for a seed of the kind; the score of the best pattern that
+               extracted it, for a found one; else 0
 
-Patterns that at least MIN_SEEDS distinct seeds of a kind hold up and whose
-score reaches ACCEPT extract their other instances as new spans of that kind,
-and these count as instances in the next round, so patterns that only share
-instances with good ones can follow.
+Patterns that at least MIN_SEEDS distinct seeds or found instances of a kind hold
+up and whose score reaches ACCEPT extract their other instances as new spans of
+that kind. These count as instances in the next round, with the score they were
+found with, on every pattern they occur with, so patterns that only share instances
+with good ones can follow. The rounds end when one finds nothing new. Scores are
+whole millionths, so sums don't depend on their order.
 
 One pass over the texts writes the base spans and the instances, with their
 contexts, in a narrow table; all else is joins and sums over it, by pattern and
@@ -39,10 +42,10 @@ from docketline.llm.common import materialize
 
 #: The kinds, in the order in which spans are listed.
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
 PRIOR = 1.0
 ACCEPT = 0.7
 MIN_SEEDS = 3
+UNIT = 1_000_000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -175,26 +178,34 @@ def _patterns() -> Column:
     return F.array(F.concat_ws("\t", F.lit("left"), "left"), F.concat_ws("\t", F.lit("right"), "right"), F.concat_ws("\t", F.lit("both"), "left", "right"))
 
 
-def accepted_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def accepted_patterns(found: DataFrame) -> DataFrame:
     """found (kind, value, fits, left, right) -> (pattern, kind, score): the
-    patterns that extract, after ``rounds`` rounds over the graph."""
+    patterns that extract, once a round over the graph finds no new instance."""
     own = F.when(F.col("kind").isNotNull(), F.array("kind")).otherwise(F.array().cast("array<string>"))
     edges = found.select("kind", F.xxhash64("value").alias("instance"), F.array_union("fits", own).alias("fits"), F.explode(_patterns()).alias("pattern"))
     edges = edges.select("pattern", "instance", "kind", F.explode("fits").alias("of")).groupBy("pattern", "of", "instance").agg(
-        F.max(F.col("kind").eqNullSafe(F.col("of")).cast("double")).alias("seed"))
+        F.max(F.col("kind").eqNullSafe(F.col("of")).cast("long")).alias("seed"), F.max(F.col("kind").isNotNull()).alias("taken"))
     edges = materialize(edges, "pii-graph")
-    # only patterns that some seed holds up can ever be accepted
-    held = edges.groupBy("pattern", "of").agg(F.sum("seed").alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
-    graph = edges.join(held, ["pattern", "of"])
-    graph = materialize(graph, "pii-held")
-    scores = graph.withColumn("score", F.col("seed"))
-    patterns = None
-    for _ in range(rounds):
-        patterns = scores.groupBy("pattern", "of", "seeds").agg((F.sum("score") / (F.count(F.lit(1)) + F.lit(PRIOR))).alias("p"))
+    key = ["pattern", "of"]
+    # fewer instances than MIN_SEEDS can't hold a pattern up, found or not
+    patterns = (edges.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.sum("seed").alias("held")).where(F.col("n") >= MIN_SEEDS)
+                .withColumns({"mass": F.col("held") * UNIT, "score": F.lit(None).cast("long")}))
+    patterns = materialize(patterns, "pii-patterns")
+    free = materialize(edges.where(~F.col("taken")).join(patterns.select(*key), key).select(*key, "instance"), "pii-free")
+    known = None
+    while True:
+        passes = F.col("score").isNull() & (F.col("held") >= MIN_SEEDS) & (F.col("mass") >= F.lit(ACCEPT * UNIT) * (F.col("n") + F.lit(PRIOR)))
+        passed = patterns.where(passes).select(*key, F.floor(F.col("mass") / (F.col("n") + F.lit(PRIOR))).alias("score"))
+        new = free.join(passed, key).groupBy("instance", "of").agg(F.max("score").alias("score"))
+        new = materialize(new if known is None else new.join(known, ["instance", "of"], "left_anti"), "pii-found")
+        gained = free.join(new, ["instance", "of"]).groupBy(*key).agg(F.count(F.lit(1)).alias("more"), F.sum("score").alias("weight"))
+        patterns = patterns.withColumn("score", F.when(passes, F.floor(F.col("mass") / (F.col("n") + F.lit(PRIOR)))).otherwise(F.col("score")))
+        if new.isEmpty():
+            return patterns.where("score is not null").select("pattern", F.col("of").alias("kind"), "score")
+        patterns = patterns.join(gained, key, "left").select(
+            *key, "n", (F.col("held") + F.coalesce("more", F.lit(0))).alias("held"), (F.col("mass") + F.coalesce("weight", F.lit(0))).alias("mass"), "score")
         patterns = materialize(patterns, "pii-patterns")
-        best = (graph.join(patterns.select("pattern", "of", "p"), ["pattern", "of"]).groupBy("instance", "of").agg(F.max("p").alias("best")))
-        scores = graph.join(best, ["instance", "of"]).withColumn("score", F.when(F.col("seed") == 1.0, 1.0).otherwise(F.col("best")))
-    return patterns.where(F.col("p") >= ACCEPT).select("pattern", F.col("of").alias("kind"), F.col("p").alias("score"))
+        known = new if known is None else materialize(known.select("instance", "of").union(new.select("instance", "of")), "pii-known")
 
 
 def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -478,3 +478,19 @@ def test_other_forms_are_found_in_seed_contexts(spark):
         assert [(s["kind"], text[k][s["start"]:s["end"]]) for s in got[k]["spans"]] == [(kind, v)]
         assert got[k]["base"] == [] and got[k + 100]["spans"] == []
     assert got[400]["spans"] == [] and got[401]["spans"] == []
+
+
+def test_found_instances_hold_up_further_patterns(spark):
+    """Seeds stand in the first context only; the second shares with it only
+    instances that are found there."""
+    def number(i):
+        return f"555-{200 + i // 90}-{1000 + i}"
+
+    rows = [(i, f"please call +1 555 {100 + i % 800} {4000 + i} now") for i in range(400)]
+    rows += [(1000 + i, f"please call {number(i)} now") for i in range(60)]
+    rows += [(2000 + i, f"was dialing {number(i)} twice") for i in range(70)]
+    rows += [(3000 + i, f"part {number(i)} stands") for i in range(5)] + [(4000, f"part {number(500)} stands")]
+    got = {r["id"]: [s["kind"] for s in r["spans"]] for r in pii_bootstrap.extract(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert all(got[1000 + i] == ["phone"] for i in range(60))
+    assert all(got[2000 + i] == ["phone"] for i in range(70))
+    assert all(got[k] == [] for k in (*range(3000, 3005), 4000))
