@@ -15,10 +15,10 @@
 The histogram covers all pieces, so the packing is one for the whole corpus, and
 nothing but the histogram and the fillings is ever in one place.
 
-Tokens are those of ``tokenizers`` for the given file without special tokens.
-The same vocabulary and merges are run by ``tiktoken``, which is about five
+Tokens are those of ``tokenizers`` for the given file, with no special tokens
+added; an added token that stands in a text has its own id there. The same vocabulary and merges are run by ``tiktoken``, which is about five
 times faster; a text on whose white space its matcher gives up goes to
-``tokenizers``. Strings of special tokens in a text are ordinary text.
+``tokenizers``.
 
 Defined results: a null text is an empty one and gives one piece, the end
 token; repeated rows are packed one by one; a null id stays null; an empty table
@@ -61,20 +61,22 @@ def encoder(spec: str) -> Callable[[str], np.ndarray]:
     import tiktoken
 
     model, letters = json.loads(spec), byte_alphabet()
-    special = {t["content"] for t in model["added_tokens"]}
+    special = {t["content"]: t["id"] for t in model["added_tokens"]}
+    plain = not any(t[k] for t in model["added_tokens"] for k in ("single_word", "lstrip", "rstrip"))
     ranks = {bytes(letters[c] for c in word): i for word, i in model["model"]["vocab"].items() if word not in special}
-    fast = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    fast = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
     slow = []
 
     def encode(text: str) -> np.ndarray:
         try:
-            return fast.encode_to_numpy(text, disallowed_special=())
+            if plain:
+                return fast.encode_to_numpy(text, allowed_special="all")
         except ValueError:  # its matcher has a limited stack
-            if not slow:
-                from tokenizers import Tokenizer
-                slow.append(Tokenizer.from_str(spec))
-                slow[0].encode_special_tokens = True
-            return np.array(slow[0].encode(text, add_special_tokens=False).ids, np.uint32)
+            pass
+        if not slow:
+            from tokenizers import Tokenizer
+            slow.append(Tokenizer.from_str(spec))
+        return np.array(slow[0].encode(text, add_special_tokens=False).ids, np.uint32)
     return encode
 
 

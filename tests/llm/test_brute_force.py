@@ -300,6 +300,19 @@ def test_packing_places_every_token(spark):
     assert len(bins) <= 1.002 * bin_completion.lower_bound(Counter(r["length"] for r in rows), 1024)
 
 
+def test_ids_of_added_tokens_in_a_text():
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_str(tokenizer_file())
+    encode, mark = packing.encoder(tokenizer_file()), "<|endoftext|>"
+    rng = random.Random(9)
+    parts = [mark, mark[:-1], mark[1:], " ", "  \n", "\n", "a", " b", "'ll", "é", "12", "\u3000"]
+    texts = ["a <|endoftext|> b", mark, mark * 3, f"x{mark}", f"{mark}  x  {mark}  ", mark + " " * 3_000_000 + mark]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(2000)]
+    for t in texts:
+        assert encode(t).tolist() == tok.encode(t, add_special_tokens=False).ids, t[:80]
+    assert encode(texts[0]).tolist() == [64, 220, 50256, 275]
+
+
 def test_sequences_hold_the_ids(spark):
     docs = spark.createDataFrame([(i, "some words " * (i % 40)) for i in range(200)], "doc_id long, text string")
     seqs = [np.frombuffer(bytes(r["ids"]), "<u4") for r in packing.sequences(docs, tokenizer_file()).collect()]
