@@ -18,7 +18,8 @@ Defined results: a null payload is an empty one; a null URI leaves the header
 out, control characters in it are percent-encoded; ids may be null or repeated;
 empty tables give no archives. A stream that is cut off or no gzip at all gives
 the whole records before the fault, and an index row of type 'error' with the
-reason; so does a malformed header. Clashing extra columns can't occur: callers
+reason; so does a malformed header. A header may be of any length.
+``archive_pages`` fails if a record it wrote isn't in the index. Clashing extra columns can't occur: callers
 pass the columns by name.
 """
 
@@ -155,9 +156,6 @@ class Inflated:
         return out
 
 
-_MAX_HEAD = 1 << 20
-
-
 def heads(stream: Inflated) -> Iterator[tuple[bytes, dict[str, str], int]]:
     """(header bytes, fields, block length) of each record; the caller must take
     block and the closing two line ends before asking for the next."""
@@ -166,17 +164,17 @@ def heads(stream: Inflated) -> Iterator[tuple[bytes, dict[str, str], int]]:
             stream.take(2)
         if not stream.fill(1):
             return
-        size = 4
-        while (end := stream.buffer.find(b"\r\n\r\n")) < 0:
-            if len(stream.buffer) >= _MAX_HEAD:
-                raise Malformed("a record header is too long")
-            size = len(stream.buffer) + 1
-            if not stream.fill(size):
+        if not stream.fill(5) or stream.buffer[:5] != b"WARC/":  # so nothing else is searched for a header's end
+            raise Malformed("no WARC record header")
+        seen = 0
+        while (end := stream.buffer.find(b"\r\n\r\n", max(0, seen - 3))) < 0:
+            seen = len(stream.buffer)
+            if not stream.fill(seen + 1):
                 raise Malformed("a record header is cut off")
         head = stream.take(end + 4)
         lines = head[:-4].decode("utf-8", "replace").split("\r\n")
         fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        if not lines[0].startswith("WARC/") or not fields.get("content-length", "").isdigit():
+        if not fields.get("content-length", "").isdigit():
             raise Malformed("no WARC record header")
         yield head, fields, int(fields["content-length"])
 
@@ -188,6 +186,10 @@ _INDEX_DDL = ("archive string, offset long, length long, record_type string, rec
               "payload_digest string, uri string, error string")
 
 
+#: A batch of index rows ends at so many characters of URIs.
+_INDEX_CHARS = 4 << 20
+
+
 def _bare(value: str | None) -> str | None:
     return value[1:-1] if value and value[0] == "<" and value[-1] == ">" else value
 
@@ -233,12 +235,13 @@ def normalise(manifest: DataFrame, folder: str) -> DataFrame:
         stem, k = _attempt(), 0
         for b in batches:
             for source in b.column(0).to_pylist():
-                rows = []
+                rows, held = [], 0
                 for row in normalise_file(source, f"{folder}/{stem}-{k:04d}.warc.gz"):
                     rows.append(row)
-                    if len(rows) == 4096:
+                    held += len(row[7] or "")
+                    if len(rows) == 4096 or held > _INDEX_CHARS:
                         yield _index(rows)
-                        rows = []
+                        rows, held = [], 0
                 if rows:
                     yield _index(rows)
                 k += 1
@@ -305,4 +308,15 @@ def archive_pages(pages: DataFrame, id_col: str = "page_id", uri_col: str = "url
                             F.when(F.col("refers_to").isNotNull(), name("refers_to")).alias("refers_to"))
     manifest = materialize(write_archives(records, new_folder(pages, "warc-whole")), "warc-manifest")
     spread = manifest.repartition(max(1, pages.sparkSession.sparkContext.defaultParallelism, manifest.count()), "archive")
-    return materialize(normalise(spread, new_folder(pages, "warc-members")), "warc-index")
+    index = materialize(normalise(spread, new_folder(pages, "warc-members")), "warc-index")
+    check_whole(manifest, index)
+    return index
+
+
+def check_whole(manifest: DataFrame, index: DataFrame) -> None:
+    """Fail if the index lacks records that the manifest counts."""
+    error = F.col("record_type") == "error"
+    got = index.agg(F.count_if(error.isNull() | ~error).alias("n"), F.max(F.when(error, F.concat_ws(": ", "archive", "error"))).alias("error")).first()
+    written = manifest.agg(F.sum("n_records")).first()[0] or 0
+    if got["error"] is not None or got["n"] != written:
+        raise Malformed(f"{got['n']} of {written} records were read back; {got['error'] or 'no error row'}")

@@ -52,6 +52,27 @@ def test_normalise_takes_members_padding_and_junk(tmp_path):
     assert [r[3] for r in warc.normalise_file(f"file://{tmp_path}/head.gz", f"file://{tmp_path}/p.gz")] == ["response", "error"]
 
 
+def test_very_long_urls_lose_no_record(spark, tmp_path):
+    urls = ["http://x/0", "http://x/" + "u" * 3_000_000, "http://x/2", "http://x/" + "é" * 1_500_000, "http://x/4"]
+    records = [warc.record_bytes(f"urn:page:{i}", u, b"p%d" % i, None) for i, u in enumerate(urls)]
+    (tmp_path / "a.gz").write_bytes(gzip.compress(b"".join(records)))
+    rows = list(warc.normalise_file(f"file://{tmp_path}/a.gz", f"file://{tmp_path}/b.gz"))
+    assert [(r[4], r[7]) for r in rows] == [(f"urn:page:{i}", u) for i, u in enumerate(urls)]
+    pages = spark.createDataFrame([(i, u, f"p{i}") for i, u in enumerate(urls)], "page_id long, url string, html string").coalesce(1)
+    index = warc.archive_pages(pages)
+    assert index.where("record_type = 'response'").count() == len(urls)
+    assert {r["n"] for r in index.selectExpr("length(uri) as n").collect()} == {len(u) for u in urls}
+
+
+def test_a_missing_record_fails(spark):
+    manifest = spark.createDataFrame([("a", 2)], "archive string, n_records long")
+    kinds = "archive string, record_type string, error string"
+    warc.check_whole(manifest, spark.createDataFrame([("a", "response", None), ("a", "revisit", None)], kinds))
+    for rows in ([("a", "response", None)], [("a", "response", None), ("a", "error", "cut off")]):
+        with pytest.raises(warc.Malformed):
+            warc.check_whole(manifest, spark.createDataFrame(rows, kinds))
+
+
 # -- 2
 
 def test_quality_on_held_out_rows(spark):
