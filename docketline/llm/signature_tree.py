@@ -521,6 +521,12 @@ def _leaf_cells(many: DataFrame) -> DataFrame:
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n, component): each row's set size and the least id that links
     reach; one row a row of ``docs``."""
+    return _linked(docs, id_col, text_col).select("id", "n", "component")
+
+
+def _linked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, n, component, cls, root): the components, with each row's class and
+    the class that stands for its component."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     # about one word in seven bytes; only how finely the shingles are dealt out depends on it
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -557,24 +563,49 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .select("cls", "n", "id", F.coalesce("root", "cls").alias("root"), F.col("root").isNotNull().alias("linked")))
     least = rooted.where("linked").groupBy("root").agg(F.min("id").alias("least")).withColumnRenamed("root", "l_root")
     named = (rooted.join(least, F.col("linked") & (F.col("root") == F.col("l_root")), "left")
-             .select(F.col("cls").alias("c_cls"), F.col("n").alias("c_n"), F.coalesce("least", "id").alias("component")))
+             .select(F.col("cls").alias("c_cls"), F.col("n").alias("c_n"), "root", F.coalesce("least", "id").alias("component")))
     out = members.join(named, (F.col("cls") == F.col("c_cls")) & (F.col("n") == F.col("c_n")), "left")
     # a text without words is its own component
-    return out.select("id", "n", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component"))
+    return out.select("id", "n", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component"), "cls", "root")
+
+
+def _row_class(texts: pa.Array) -> pa.Array:
+    hashes = WordHashes()
+    return pa.array([class_of(shingle_set(t, hashes)) for t in texts.cast(pa.binary()).to_pylist()], pa.int64())
+
+
+_row_class.__annotations__ = {"texts": pa.Array, "return": pa.Array}
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component: the row with the component's id (of
-    repeated rows with that id, one of each text stays). Only documents that a
-    fixed-size bit table takes for dropped ones are shuffled, to be joined with
-    the ids that go; all others stay where they are."""
-    ids = link_components(docs, id_col, text_col).groupBy("id").agg(
-        F.max(F.col("id").eqNullSafe(F.col("component"))).alias("leads"), F.count(F.lit(1)).alias("n"))
+    """One document of each component: the row with the component's id. Only
+    documents that a fixed-size bit table takes for dropped ones are shuffled, to
+    be joined with the ids that go; all others stay where they are. If an id is
+    null or repeated, rows are told apart by id and class."""
+    rows = _linked(docs, id_col, text_col)
+    ids = rows.groupBy("id").agg(F.max(F.col("id").eqNullSafe(F.col("component"))).alias("leads"), F.count(F.lit(1)).alias("n"))
     ids = materialize(ids, "leaders")
+    if not ids.where("n > 1").isEmpty():
+        return _drop_by_row(docs, rows, id_col, text_col)
     gone = ids.where(~F.col("leads")).select("id")
     doubtful = _among(gone)(F.col(f"`{id_col}`").cast("long"))
     out = fresh(docs, "gone_id")
     sure = docs.where(~doubtful)
     checked = docs.where(doubtful).join(gone.withColumnRenamed("id", out), F.col(f"`{id_col}`").eqNullSafe(F.col(out)), "left_anti")
-    kept = sure.union(checked)
-    return kept if ids.where("n > 1").isEmpty() else kept.dropDuplicates([id_col, text_col])
+    return sure.union(checked)
+
+
+def _drop_by_row(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Of each component, a row of the least (id, class), null ids last; of rows
+    without words, one of each id and text."""
+    worded = materialize(rows.where("n > 0").select("id", "cls", "root").distinct(), "linked")
+    least = worded.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "cls")).alias("first")).select(
+        F.col("root").alias("l_root"), "first")
+    first = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("cls") == F.col("first.cls"))
+    cls, gone_id, gone_cls, bare = (fresh(docs, x) for x in ("near_cls", "near_id", "near_gone", "near_bare"))
+    gone = worded.join(least, F.col("root") == F.col("l_root")).where(~first).select(F.col("id").alias(gone_id), F.col("cls").alias(gone_cls))
+    text = F.col(f"`{text_col}`").cast("string")
+    classed = docs.withColumn(cls, F.arrow_udf(_row_class, "long")(text))
+    kept = classed.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(gone_id)) & (F.col(cls) == F.col(gone_cls)), "left_anti")
+    kept = kept.withColumn(bare, F.when(F.col(cls) == 0, text))
+    return kept.dropDuplicates([id_col, cls, bare]).drop(cls, bare)

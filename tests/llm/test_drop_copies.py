@@ -29,3 +29,15 @@ def test_bit_table_holds_all_its_ids(spark, monkeypatch):
     assert spark.range(10**6, 10**6 + 20000).where(among(F.col("id"))).count() < 6000
     nobody = signature_tree._among(ids.where("id < 0"))
     assert ids.where(nobody(F.col("id"))).isEmpty()
+
+
+def test_one_row_of_each_component_stays_with_null_and_repeated_ids(spark):
+    def text(k, n=30):
+        return " ".join(f"t{k}w{i}" for i in range(n))
+
+    rows = [(3, text(1)), (7, text(2)), (7, text(1) + " end"), (7, text(2).upper()), (9, text(5)),
+            (None, text(3)), (None, text(3) + " end"), (None, text(4)), (None, text(4)), (None, text(5)), (8, ""), (8, ""), (8, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r["doc_id"], r["text"]) for r in signature_tree.drop_near_copies(docs).collect()]
+    words = sorted((i or 0, (t or "").lower()[:4]) for i, t in got)
+    assert words == [(0, ""), (0, "t3w0"), (0, "t4w0"), (3, "t1w0"), (7, "t2w0"), (8, ""), (8, ""), (9, "t5w0")]
