@@ -25,9 +25,11 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
+        v = float(v)
         if math.isnan(v):
             return None
-        return round(v, 6)
+        # a nullable integer column reaches pandas as floats from one side, as integers from the other
+        return int(v) if v.is_integer() else round(v, 6)
     if hasattr(v, "item"):
         v = v.item()
     if isinstance(v, bool):
