@@ -62,9 +62,25 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, ways.b FR
 SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, min(reach.b) AS component_id FROM s JOIN reach ON s.doc_id = reach.a GROUP BY s.doc_id, sh
 """
 
+FILL_MIDDLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, 'null')) AS x,
+             regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w FROM documents),
+h AS (SELECT doc_id, text, w, len(w)::BIGINT AS n, ('0x' || substr(x, 1, 8))::BIGINT AS h1, ('0x' || substr(x, 9, 8))::BIGINT AS h2,
+        ('0x' || substr(x, 17, 8))::BIGINT AS h3, ('0x' || substr(x, 25, 8))::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS i, greatest(h1 % (n + 1), h2 % (n + 1)) AS j,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+             WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+s AS (SELECT doc_id, text, n, form, array_to_string(w[1:i], '') AS p, array_to_string(w[i + 1:j], '') AS m, array_to_string(w[j + 1:], '') AS t FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || t || '<M>' || m ELSE '<S>' || t || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM s
+"""
+
 ORACLE: dict[str, str] = {
     "op1_warc_normalise": WARC,
     "op4_decontaminate": DECONTAMINATE,
     "op5_line_frequency": LINE_FREQUENCY,
     "op9_signature_tree": SIGNATURE_TREE,
+    "op13_fill_middle": FILL_MIDDLE,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketline.llm import (
-    decontaminate, line_frequency, masked_lm, packing, pii_bootstrap, repetition, rule_ensemble, signature_tree, url_filter, warc)
+    decontaminate, fill_middle, line_frequency, masked_lm, packing, pii_bootstrap, repetition, rule_ensemble, signature_tree, url_filter, warc)
 from docketline.llm.common import prepare, read_table
 from docketline.llm.oracle import ORACLE
 
@@ -126,6 +126,16 @@ def op10_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii_bootstrap.span_text(F.col("spans")).alias("spans"))
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and cuts of every document, checksums of its output and of the text rebuilt from it."""
+    prepare(spark)
+    f = F.col("fim")
+    return fill_middle.transform(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", *[f[k].alias(k) for k in ("n", "form", "prefix_chars", "middle_chars")],
+        F.sha2(f["output"].cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fill_middle.restore(f["output"], f["form"]).cast("binary"), 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc_normalise": op1_warc_normalise,
     "op2_quality_rules": op2_quality_rules,
@@ -137,6 +147,7 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_signature_tree": op9_signature_tree,
     "op10_pii_bootstrap": op10_pii_bootstrap,
+    "op13_fill_middle": op13_fill_middle,
 }
 
 __all__ = ["ORACLE", "QUERIES", "tokenizer_file"]
