@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketline.llm import (
-    decontaminate, fill_middle, line_frequency, masked_lm, packing, pii_bootstrap, repetition, rule_ensemble, signature_tree, url_filter, warc)
+    decontaminate, fill_middle, line_frequency, masked_lm, packing, pii_bootstrap, repetition, rule_ensemble, signature_tree, token_alignment,
+    url_filter, warc)
 from docketline.llm.common import prepare, read_table
 from docketline.llm.oracle import ORACLE
 
@@ -23,6 +24,14 @@ def tokenizer_file() -> str:
         return f.read()
 
 
+def piece_model() -> bytes:
+    """The SentencePiece model, read on the driver."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        return f.read()
+
+
 def op1_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A WARC record a page, written, normalised and read back."""
     import pyarrow as pa
@@ -126,6 +135,16 @@ def op10_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii_bootstrap.span_text(F.col("spans")).alias("spans"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of every document's tokens under two tokenizers."""
+    prepare(spark)
+    found = token_alignment.align(read_table(spark, sf_dir, "documents"), tokenizer_file(), piece_model())
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    found = token_alignment.write(found.withColumn("groups_sha256", digest).drop("groups"))
+    scored = token_alignment.score(found, token_alignment.link_table(found))
+    return scored.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form and cuts of every document, checksums of its output and of the text rebuilt from it."""
     prepare(spark)
@@ -147,6 +166,7 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_signature_tree": op9_signature_tree,
     "op10_pii_bootstrap": op10_pii_bootstrap,
+    "op11_token_alignment": op11_token_alignment,
     "op13_fill_middle": op13_fill_middle,
 }
 
