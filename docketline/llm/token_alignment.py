@@ -88,12 +88,27 @@ def encoder_b(model: bytes) -> tuple[Callable[[str], list[int]], list[bytes]]:
     return sp.encode, [shown(i) for i in range(sp.get_piece_size())]
 
 
-def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
-    """For every token, A's first and then B's, the A token that ends its group.
-    Ends are byte offsets in rising order; both sides reach the same last end."""
-    n = len(ends_a)
-    to_b = np.searchsorted(ends_b, ends_a)
-    point = np.concatenate((np.where(ends_b[to_b] == ends_a, np.arange(n), n + to_b), np.searchsorted(ends_a, ends_b)))
+class Segments:
+    """The pieces between neighbouring ends of either side, one for each
+    overlapping pair: its A and its B token, and whether they end with it. Ends
+    are byte offsets in rising order; both sides reach the same last end."""
+
+    def __init__(self, ends_a: np.ndarray, ends_b: np.ndarray):
+        ends = np.concatenate((ends_a, ends_b))
+        order = np.argsort(ends, kind="stable")  # merges two sorted runs
+        ends, of_a = ends[order], order < len(ends_a)
+        first = np.concatenate(([True], ends[1:] != ends[:-1])) if len(ends) else np.zeros(0, bool)
+        last = np.concatenate((first[1:], [True])) if len(ends) else first
+        both = ~(first & last)[first]
+        self.ends_a, self.ends_b = of_a[first] | both, ~of_a[first] | both
+        self.a, self.b = (np.cumsum(x) - x for x in (self.ends_a, self.ends_b))
+
+
+def terminals(seg: Segments) -> np.ndarray:
+    """For every token, A's first and then B's, the A token that ends its group."""
+    a_at, b_at = np.flatnonzero(seg.ends_a), np.flatnonzero(seg.ends_b)
+    n = len(a_at)
+    point = np.concatenate((np.where(seg.ends_b[a_at], np.arange(n), n + seg.b[a_at]), seg.a[b_at]))
     while True:
         jumped = point[point]
         if np.array_equal(jumped, point):
@@ -101,12 +116,6 @@ def terminals(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
         point = jumped
 
 
-def segments(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(end, A token, B token) of every overlapping pair."""
-    ends = np.union1d(ends_a, ends_b)
-    return ends, np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-
-
 _FIELDS = [("id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups", pa.string()),
            ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32())), ("times", pa.list_(pa.int32()))]
 _DDL = "id long, n_a long, n_b long, n_groups long, n_links long, groups string, a array<int>, b array<int>, times array<int>"
@@ -140,13 +149,15 @@ class Aligner:
         ids_a, ids_b = (np.concatenate([p[k] for p in pairs] or [np.zeros(0, np.int64)]) for k in (0, 1))
         ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
         row_a, row_b = np.repeat(np.arange(len(texts)), n_a), np.repeat(np.arange(len(texts)), n_b)
-        last = terminals(ends_a, ends_b)
+        seg = Segments(ends_a, ends_b)
+        last = terminals(seg)
         closes = last[:len(ids_a)] == np.arange(len(ids_a))
         group = np.cumsum(closes)[last] - 1 if len(last) else last
-        _, at_a, at_b = segments(ends_a, ends_b)
-        row = row_a[at_a]
-        key = (row << (2 * ID_BITS)) | (ids_a[at_a] << ID_BITS) | ids_b[at_b]
-        key, times = np.unique(key, return_counts=True)
+        row = row_a[seg.a]
+        key = np.sort((row << (2 * ID_BITS)) | (ids_a[seg.a] << ID_BITS) | ids_b[seg.b])
+        begins = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+        times = np.diff(begins, append=len(key))
+        key = key[begins]
         mask = (1 << ID_BITS) - 1
         offsets = pa.array(np.searchsorted(key >> (2 * ID_BITS), np.arange(len(texts) + 1)), pa.int32())
         lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in ((key >> ID_BITS) & mask, key & mask, times)]

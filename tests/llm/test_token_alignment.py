@@ -135,7 +135,7 @@ def test_terminals_are_components(sides):
         for j in range(len(a), len(spans)):
             if spans[i][0] < spans[j][1] and spans[j][0] < spans[i][1]:
                 root[find(i)] = find(j)
-    last = ta.terminals(a, b)
+    last = ta.terminals(ta.Segments(a, b))
     for i in range(len(spans)):
         for j in range(len(spans)):
             assert (last[i] == last[j]) == (find(i) == find(j))
