@@ -49,19 +49,24 @@ SELECT d.doc_id, d.source, a.clean AS text, coalesce(n, 0)::BIGINT AS n_lines, c
 FROM d LEFT JOIN a ON d.rid = a.rid
 """
 
-SIGNATURE_TREE = f"""
+def _linked_documents(k: int, percent: int, kept: str = "") -> str:
+    """Components of documents whose sets of k-word shingles are similar."""
+    return f"""
 WITH RECURSIVE d AS (SELECT doc_id, {_JOIN_WORDS} AS w FROM documents),
-s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct([array_to_string(w[i:i + 4], ' ')
-        for i in range(1, greatest(len(w) - 4, 1) + 1)]) END AS sh FROM d),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct([array_to_string(w[i:i + {k - 1}], ' ')
+        for i in range(1, greatest(len(w) - {k - 1}, 1) + 1)]) END AS sh FROM d),
 e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
 pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb, count(*) AS shared
           FROM e x JOIN e y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
-link AS (SELECT a, b FROM pairs WHERE 100 * shared >= 75 * (na + nb - shared)),
+link AS (SELECT a, b FROM pairs WHERE 100 * shared >= {percent} * (na + nb - shared)),
 ways AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a)
-SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, min(reach.b) AS component_id FROM s JOIN reach ON s.doc_id = reach.a GROUP BY s.doc_id, sh
+SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, min(reach.b) AS component_id{kept} FROM s JOIN reach ON s.doc_id = reach.a GROUP BY s.doc_id, sh
 """
 
+SIGNATURE_TREE = _linked_documents(5, 75)
+HYPER_MINHASH = _linked_documents(3, 85, ", s.doc_id = min(reach.b) AS kept")
+
 FILL_MIDDLE = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, 'null')) AS x,
              regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w FROM documents),
@@ -82,5 +87,6 @@ ORACLE: dict[str, str] = {
     "op4_decontaminate": DECONTAMINATE,
     "op5_line_frequency": LINE_FREQUENCY,
     "op9_signature_tree": SIGNATURE_TREE,
+    "op12_hyper_minhash": HYPER_MINHASH,
     "op13_fill_middle": FILL_MIDDLE,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketline.llm import (
-    decontaminate, fill_middle, line_frequency, masked_lm, packing, pii_bootstrap, repetition, rule_ensemble, signature_tree, token_alignment,
+    decontaminate, fill_middle, hyper_minhash, line_frequency, masked_lm, packing, pii_bootstrap, repetition, rule_ensemble, signature_tree, token_alignment,
     url_filter, warc)
 from docketline.llm.common import prepare, read_table
 from docketline.llm.oracle import ORACLE
@@ -145,6 +145,14 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def op12_hyper_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and near-duplicate group of every document, and whether it stays."""
+    prepare(spark)
+    found = hyper_minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
+                        F.col("id").eqNullSafe(F.col("component")).alias("kept"))
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form and cuts of every document, checksums of its output and of the text rebuilt from it."""
     prepare(spark)
@@ -167,6 +175,7 @@ QUERIES: dict[str, Query] = {
     "op9_signature_tree": op9_signature_tree,
     "op10_pii_bootstrap": op10_pii_bootstrap,
     "op11_token_alignment": op11_token_alignment,
+    "op12_hyper_minhash": op12_hyper_minhash,
     "op13_fill_middle": op13_fill_middle,
 }
 
