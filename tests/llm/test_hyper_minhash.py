@@ -111,7 +111,7 @@ def test_estimate_is_corrected_for_chance(mantissa):
     rng = np.random.default_rng(mantissa)
     for n, m, shared in ((4000, 4000, 0), (3000, 6000, 0), (4000, 4000, 2000)):
         got, plain = [], []
-        for _ in range(60):
+        for _ in range(300):
             t = rng.integers(0, 1 << 63, n + m - shared, dtype=np.uint64)
             x, y = (hm.registers(s, 128, mantissa)[None] for s in (t[:n], t[n - shared:]))
             got.append(hm.estimate(x, y, np.array([n]), np.array([m]), 128, mantissa)[0, 0])
