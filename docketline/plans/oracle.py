@@ -204,6 +204,16 @@ FROM entries""",
     "entries_explode": with_(ENTRIES) + """
 SELECT court_book_id, pos, line_id, book_item_id, handwritten_raw, relevant_raw, entry_date_ms, entry_date_valid
 FROM entries""",
+    "entry_arrays": with_(ENTRIES) + f"""
+SELECT court_book_id, row_number() OVER (PARTITION BY court_book_id, pos // {fx.FILE_IDS} ORDER BY pos) - 1 AS pos, line_id, book_item_id,
+       handwritten_raw, relevant_raw, entry_date_ms, entry_date_valid
+FROM entries""",
+    "array_recovery": with_(ENTRIES) + f"""
+SELECT court_book_id, line_id, book_item_id, sha256(entry_original_html) AS html_sha256
+FROM entries WHERE pos % {fx.SPOILED[0]} <> {fx.SPOILED[1]}""",
+    "entry_lines": with_(ENTRIES) + f"""
+, numbered AS (SELECT court_book_id, line_id, row_number() OVER (PARTITION BY court_book_id, pos // {fx.FILE_IDS} ORDER BY pos) - 1 AS pos FROM entries)
+SELECT court_book_id, line_id, pos, {S.entry_uid('court_book_id', 'line_id', 'pos')} AS unique_id FROM numbered""",
     "json_quarantine": with_(CHUNKS) + f"""
 SELECT request_id, chunk_no FROM chunks
 WHERE NOT {S.is_json_object("regexp_replace(line, '^data: ', '')")}""",

@@ -102,6 +102,25 @@ def q_entries_explode(spark, sf):
                     "relevant_raw", "entry_date_ms", "entry_date_valid")
 
 
+def q_entry_arrays(spark, sf):
+    """Entries of JSON array files, read in splits."""
+    raw = readers.array_rows(spark, fx.entry_array_files(spark, sf), book=F.col("court_book_id").cast("string"))
+    return readers.parse_entries(raw).select("court_book_id", "pos", "line_id", "book_item_id", "handwritten_raw",
+                                             "relevant_raw", "entry_date_ms", "entry_date_valid")
+
+
+def q_array_recovery(spark, sf):
+    """Entries that come back from array files with a fault in every tenth one."""
+    raw = readers.array_rows(spark, fx.entry_array_files(spark, sf, spoiled=True), book=F.col("court_book_id").cast("string"))
+    return readers.parse_entries(raw).select("court_book_id", "line_id", "book_item_id", F.sha2("entry_original_html", 256).alias("html_sha256"))
+
+
+def q_entry_lines(spark, sf):
+    """Ids of entries read from JSON lines, by line number in the file."""
+    e = readers.read_entry_lines(spark, fx.entry_line_files(spark, sf))
+    return e.select("court_book_id", "line_id", "pos", T.entry_uid("court_book_id", "line_id", "pos").alias("unique_id"))
+
+
 def q_json_quarantine(spark, sf):
     c = fx.chunks(spark, sf).withColumn("body", F.regexp_replace("line", r"\Adata: ", ""))
     return readers.json_quarantine(c, "body").select("request_id", "chunk_no")

@@ -13,19 +13,26 @@ them. The matching DuckDB forms live in ``docketline.plans.oracle``.
 | watch | events as (path, version, content) snapshots |
 | worklist / ledger | order and customer keys as requested and finished books |
 | runlog | events as '[ts] message' log lines |
+| entry_array_files / entry_line_files | entry_json written as JSON array files or JSON lines, a file a book and range of ids |
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketline.functions.text import html_paragraphs
+from docketline.session import _delete_on_exit, ensure_checkpoint_dir
 
 # --- fixed values of the fixture mapping ------------------------------------
 ENTRY_EPOCH_MS = 1_700_000_000_000      # entryDate of doc 0
 ENTRY_STEP_MS = 3_600_000                # one hour per doc id
 ITEM_ID_FACTOR = 3                       # bookItemId = doc_id * 3
+FILE_IDS = 2000                          # a file of a book holds ids of a range of this length
+SPOILED = (10, 3)                        # ids with this remainder lose a quote in spoiled files
 # ----------------------------------------------------------------------------
 
 
@@ -60,6 +67,37 @@ def entry_json(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.to_json(obj).alias("raw"))
 
 
+def _book_files(entries: DataFrame, value, name: str) -> str:
+    """Write a text file a (book, range of ids), lines in the order of ids, below
+    the checkpoint folder. ``value`` makes a line from ``raw``, ``first`` and ``last``."""
+    piece = F.floor(F.col("pos") / FILE_IDS)
+    mine = Window.partitionBy("court_book_id", "piece").orderBy("pos")
+    d = entries.withColumn("piece", piece).withColumns({
+        "first": F.row_number().over(mine) == 1, "last": F.lead("pos").over(mine).isNull()})
+    spark = entries.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), "files", f"{name}-{uuid.uuid4().hex}")
+    d = d.sortWithinPartitions("court_book_id", "piece", "pos").select("court_book_id", "piece", value.alias("value"))
+    d.write.partitionBy("court_book_id", "piece").text(path)
+    _delete_on_exit(spark, path)
+    return path
+
+
+def entry_array_files(spark: SparkSession, sf_dir: str, spoiled: bool = False) -> str:
+    """Folder of JSON array files, the source system's shape. ``spoiled``: some
+    entries lack their first quote, which turns round all that is string and all
+    that isn't in the rest of the file."""
+    raw = F.col("raw")
+    if spoiled:
+        raw = F.when(F.col("pos") % SPOILED[0] == SPOILED[1], F.regexp_replace(raw, r'\A\{"', "{")).otherwise(raw)
+    line = F.concat(F.when(F.col("first"), "[").otherwise(","), raw, F.when(F.col("last"), "]").otherwise(""))
+    return _book_files(entry_json(spark, sf_dir), line, "entry-arrays")
+
+
+def entry_line_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of files with one JSON object a line."""
+    return _book_files(entry_json(spark, sf_dir), F.col("raw"), "entry-lines")
+
+
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Book items (id, description, load_order); supplier rows load after
     part rows, so for shared ids the supplier name wins."""

@@ -7,15 +7,12 @@ apart from "null".
 
 from __future__ import annotations
 
-import json
-import re
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketline.functions.text import py_strip
+from docketline.session import materialize
+from docketline.sources.array_splits import array_rows
 
 ENTRY_COLUMNS = ["court_book_id", "pos", "line_id", "book_item_id", "handwritten_raw",
                  "relevant_raw", "entry_date_ms", "entry_date_valid",
@@ -49,74 +46,31 @@ def read_prompts(spark: SparkSession, path: str) -> DataFrame:
             .schema("prompt_id int, prompt_text string").csv(path))
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line_no, value): the lines of text files, numbered from 0 in each
+    file. The lines are written once with the number each has in its task; a count
+    of the lines of each split gives the rest, so numbers don't depend on how the
+    files are split."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                         F.monotonically_increasing_id().alias("n"), "value")
+    lines = materialize(lines, "lines")
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("file", "block").agg(F.min("n").alias("first"), F.count(F.lit(1)).alias("rows")).select(
+        F.col("file").alias("s_file"), F.col("block").alias("s_block"), "first", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
+    joined = lines.join(splits, (F.col("file") == F.col("s_file")) & (F.col("block") == F.col("s_block")))
+    return joined.select("file", (F.col("n") - F.col("first") + F.col("before")).alias("line_no"), "value")
+
+
 def read_entry_lines(spark: SparkSession, path: str) -> DataFrame:
     """Landed entries, one JSON object per line (splittable), with the book
-    id in the object. Position = line order within the file set."""
-    raw = spark.read.text(path).withColumnRenamed("value", "raw")
-    return parse_entries(raw.withColumn("pos", F.monotonically_increasing_id()))
-
-
-_SPACE = re.compile(r"[ \t\n\r]*")
-
-
-def _array_elements(value: str) -> Iterator[tuple[str, str | None]]:
-    """(text, None) of each element of a JSON array, cut out of ``value`` one by
-    one; where the array is malformed, (rest, reason), and no more."""
-    decoder = json.JSONDecoder()
-    at = _SPACE.match(value).end()
-    if value[at:at + 1] != "[":
-        yield value, "not a JSON array"
-        return
-    at = _SPACE.match(value, at + 1).end()
-    first = True
-    while value[at:at + 1] != "]":
-        start = at
-        try:
-            if not first:
-                if value[at:at + 1] != ",":
-                    raise ValueError("no ',' between elements")
-                at = _SPACE.match(value, at + 1).end()
-            start = at
-            _, at = decoder.raw_decode(value, at)
-        except ValueError as e:
-            yield value[start:], str(e).partition(":")[0] or "malformed"
-            return
-        yield value[start:at], None
-        at, first = _SPACE.match(value, at).end(), False
-
-
-def array_rows(spark: SparkSession, path: str) -> DataFrame:
-    """(court_book_id, pos, raw, error): JSON arrays, one file a book, one row an
-    element with its own text. The book is the file's name without its ending.
-    Elements are cut out one by one, so a long file loses none of them to a size
-    limit of one parsed value; what can't be cut is a row with an error."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for book, value in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                rows, held = [], 0
-                for pos, (raw, error) in enumerate(_array_elements(value)):
-                    rows.append((book, pos, raw, error))
-                    held += len(raw)
-                    if held > 1 << 22:
-                        yield _element_batch(rows)
-                        rows, held = [], 0
-                if rows:
-                    yield _element_batch(rows)
-
-    files = spark.read.option("wholetext", True).text(path)
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"\A(.*?)(?:\.[^.]*)?\z", 1)
-    return files.select(F.url_decode(name).alias("court_book_id"), "value").mapInArrow(
-        run, "court_book_id string, pos bigint, raw string, error string")
-
-
-def _element_batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.string(), pa.int64(), pa.string(), pa.string()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["court_book_id", "pos", "raw", "error"])
+    id in the object. Position = line number in its file, from 0, whatever the
+    split size."""
+    return parse_entries(numbered_lines(spark, path).select(F.col("line_no").alias("pos"), F.col("value").alias("raw")))
 
 
 def read_entry_arrays(spark: SparkSession, path: str) -> DataFrame:
     """Landed API responses, one JSON array per file (the source system's
-    shape), as typed entries; ``quarantine`` has what is no object."""
+    shape), read in splits, as typed entries; ``quarantine`` has what is no object."""
     return parse_entries(array_rows(spark, path))
 
 

@@ -44,6 +44,26 @@ def test_entry_arrays_and_lines(spark):
     assert sorted(r.line_id for r in lines) == ["7", "8"]
 
 
+def test_line_numbers_do_not_depend_on_splits(spark):
+    """Ids of entries in JSON lines are the same for every split size."""
+    from docketline.functions import text as T
+    d = tempfile.mkdtemp(prefix="ln-")
+    for name in "AB":
+        _write(d, name + ".jsonl", "\n".join("" if i % 7 == 3 else json.dumps({"id": i, "courtBookId": name, "t": "é" * (i % 40)}) for i in range(120)))
+    got = []
+    for split in ("100", "700", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            e = readers.read_entry_lines(spark, d)
+            got.append(sorted(e.select("court_book_id", "line_id", "pos", T.entry_uid("court_book_id", "line_id", "pos").alias("u")).collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got[0] == got[1] == got[2] and len(got[0]) == 2 * 103
+    assert all(int(r.line_id) == r.pos for r in got[0])
+
+
 def test_items_keep_only_complete(spark):
     d = tempfile.mkdtemp(prefix="it-")
     _write(d, "items.json", json.dumps([{"id": 1, "description": "a"}, {"id": 2},
