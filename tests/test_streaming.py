@@ -4,6 +4,7 @@ import os
 import tempfile
 import time
 
+import pytest
 from conftest import SF01
 from pyspark.sql import functions as F
 
@@ -56,7 +57,17 @@ def test_incremental_skips_finished(spark):
     assert sorted(r.ID for r in spark.read.parquet(ledger).collect()) == ["11", "12", "13"]
 
 
-def test_sse_stream_equals_batch(spark):
+@pytest.fixture
+def rocksdb(spark):
+    from docketline.streaming.late_watch import STATE_STORE
+    for k, v in STATE_STORE.items():
+        spark.conf.set(k, v)
+    yield
+    for k in STATE_STORE:
+        spark.conf.unset(k)
+
+
+def test_sse_stream_equals_batch(spark, rocksdb):
     from pyspark.sql import Window
 
     from docketline.operators.inference import sse_fold
@@ -87,3 +98,44 @@ def test_sse_stream_equals_batch(spark):
         q.stop()
     streamed = {r.request_id: r.response for r in spark.sql("SELECT * FROM sse_test").collect()}
     assert streamed == batch
+
+
+def test_sse_gaps_order_and_marks(spark, rocksdb):
+    """Chunks in any order; a gap or a cut stream is an error; late chunks are
+    ignored until the mark expires, and state goes."""
+    import json
+
+    from docketline.streaming.responses import BROKEN_STREAM, sse_fold_stream
+    src, ck = tempfile.mkdtemp(prefix="sse-src-"), tempfile.mkdtemp(prefix="ck-")
+    schema = "request_id string, chunk_no bigint, line string, done boolean"
+    got, files = [], []
+
+    def land(*rows):
+        rows = [(r, n, None if t is None else "data: " + json.dumps({"content": t}), d) for r, n, t, d in rows]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        files.append(len(rows))
+
+    def wait(n, seconds=60):
+        end = time.time() + seconds
+        while time.time() < end and len(got) < n:
+            assert q.exception() is None, q.exception()
+            time.sleep(0.3)
+        return sorted(got)
+
+    land(("a", 2, "c", True), ("a", 0, " x", False), ("gap", 0, "g", False), ("gap", 3, "g", True), ("cut", 0, "part", False), ("none", 0, None, True))
+    read = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = (sse_fold_stream(read, timeout_ms=9_000, mark_ms=12_000).writeStream.foreachBatch(lambda df, i: got.extend(map(tuple, df.collect())))
+         .option("checkpointLocation", ck).trigger(processingTime="1 second").start())
+    try:
+        from docketline.functions import text as T
+        assert wait(1) == [("none", T.NO_CONTENT_RESPONSE)]
+        land(("a", 1, "b", False), ("a", 1, "b", False))  # the gap closes; repeated
+        assert ("a", "xbc") in wait(2)
+        land(("a", 1, "late", True), ("none", 0, "late", True))  # ignored
+        assert wait(4) == [("a", "xbc"), ("cut", BROKEN_STREAM), ("gap", "Error: Missing chunk 1"), ("none", T.NO_CONTENT_RESPONSE)]
+        time.sleep(13)  # marks are gone: the id can be used again
+        land(("a", 0, "new", True))
+        assert ("a", "new") in wait(5)
+        assert len(got) == 5
+    finally:
+        q.stop()
