@@ -22,6 +22,10 @@ One pass over the texts writes the base spans and the instances, with their
 contexts, in a narrow table; all else is joins and sums over it, by pattern and
 by instance, summed before the shuffle. Everything is linear in the instances.
 
+Instances are told apart by a 64-bit hash of the whole string, and context words
+are whole words (a long one goes by its hash; a run of over WORD characters
+without white space is no word, and all such runs are one context).
+
 Defined results: null and empty texts have no spans; a pattern at a text's edge
 has the empty word as its context; repeated rows count their instances once, as
 instances are distinct strings; equal scores accept alike; an empty table gives an
@@ -34,6 +38,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,9 +64,12 @@ _LETTER = re.compile(r"[A-Za-z]")
 #: least 16 letters and digits, and what has an '@' inside.
 _NUMBER = re.compile(r"\+?\(?[0-9](?:[ ().-]{0,2}[0-9]){6,}+")
 _KEY = re.compile(r"(?<![0-9A-Za-z])[0-9A-Za-z]{16,}+")
-_AT = re.compile(r"""(?<![^\s@<>()\[\],;:"'])[^\s@<>()\[\],;:"']{1,64}+@[^\s@<>()\[\],;:"']{1,255}+""")
-_WORD_BEFORE, _WORD_AFTER = re.compile(r"(\S*)\s*\Z"), re.compile(r"\s*(\S*)")
-_CONTEXT = 48
+_AT = re.compile(r"""(?<![^\s@<>()\[\],;:"'])[^\s@<>()\[\],;:"']++@[^\s@<>()\[\],;:"']++""")
+#: A longer context word goes by a hash of the whole word; what has more than
+#: WORD characters without white space is no word, and all such runs are alike.
+SHOWN = 24
+WORD = 1000
+_WORD_AFTER = re.compile(r"\s*(\S{0,%d})" % (WORD + 1))
 
 
 def luhn(digits: str) -> bool:
@@ -118,13 +126,23 @@ def form_kinds(s: str) -> list[str]:
 
 
 def _word(w: str) -> str:
-    return w.strip(".,;:!?\"'()[]<>#$%&*|").lower()[-24:]
+    if len(w) > WORD:
+        return "#"
+    w = w.strip(".,;:!?\"'()[]<>#$%&*|").lower()
+    return w if len(w) <= SHOWN else f"#{xxhash.xxh3_128_hexdigest(w)}"
+
+
+def _word_before(text: str, start: int) -> str:
+    """The last word of ``text[:start]``, or what of it shows that it is too long."""
+    end = start
+    while end > 0 and text[end - 1].isspace():
+        end -= 1
+    low = max(0, end - WORD - 1)
+    return text[low:end].rsplit(None, 1)[-1] if low < end else ""
 
 
 def contexts(text: str, start: int, end: int) -> tuple[str, str]:
-    before = _WORD_BEFORE.search(text[max(0, start - _CONTEXT):start])
-    after = _WORD_AFTER.match(text[end:end + _CONTEXT])
-    return _word(before[1] if before else ""), _word(after[1])
+    return _word(_word_before(text, start)), _word(_WORD_AFTER.match(text, end)[1])
 
 
 def instances(text: str) -> tuple[list[tuple[str, int, int]], list[dict]]:
@@ -147,14 +165,14 @@ def instances(text: str) -> tuple[list[tuple[str, int, int]], list[dict]]:
     rows = []
     for k, a, b in found:
         left, right = contexts(text, a, b)
-        rows.append({"kind": k, "start": a, "end": b, "value": text[a:b][:200], "fits": form_kinds(text[a:b]), "left": left, "right": right})
+        rows.append({"kind": k, "start": a, "end": b, "value": xxhash.xxh3_64_intdigest(text[a:b]) - (1 << 63), "fits": form_kinds(text[a:b]), "left": left, "right": right})
     return base, rows
 
 
-_INSTANCE = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string()), ("fits", pa.list_(pa.string())),
+_INSTANCE = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.int64()), ("fits", pa.list_(pa.string())),
                        ("left", pa.string()), ("right", pa.string())])
 _DDL = ("id long, task long, row long, base array<struct<kind: string, start: long, end: long>>, "
-        "found array<struct<kind: string, start: long, end: long, value: string, fits: array<string>, left: string, right: string>>")
+        "found array<struct<kind: string, start: long, end: long, value: long, fits: array<string>, left: string, right: string>>")
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
 

@@ -528,3 +528,18 @@ def test_found_instances_hold_up_further_patterns(spark):
     assert all(got[1000 + i] == ["phone"] for i in range(60))
     assert all(got[2000 + i] == ["phone"] for i in range(70))
     assert all(got[k] == [] for k in (*range(3000, 3005), 4000))
+
+
+def test_pii_strings_and_words_are_whole():
+    """Instances and context words of any length are told apart at their ends."""
+    long = "k1" * 150
+    _, rows = pii_bootstrap.instances(f"key {long}a and {long}b, {long}a")
+    assert len(rows) == 3 and rows[0]["value"] == rows[2]["value"] != rows[1]["value"]
+    words = ["x" * 100 + "one", "x" * 100 + "two"]
+    seen = [pii_bootstrap.contexts(f"{' ' * 500}{w}{' ' * 300}4111111111111111 {w}", 500 + len(w) + 300, 816 + len(w)) for w in words]
+    assert seen[0][0] == seen[0][1] != seen[1][0] == seen[1][1] and len(seen[0][0]) < 40
+    for text, at in (("a b", 2), ("ab", 1), ("", 0), ("  ", 2), (" ab ", 4), ("x " + "y" * 900 + " ", 903)):
+        assert pii_bootstrap._word_before(text, at) == ((text[:at].split() or [""])[-1])
+    assert pii_bootstrap.contexts("y" * 1001 + " 1 " + "z" * 5000, 1002, 1003) == ("#", "#")
+    local = "l" * 300
+    assert any(text[r["start"]:r["end"]] == local + "é@host" for text in [f"mail {local}é@host now"] for r in pii_bootstrap.instances(text)[1])
