@@ -120,20 +120,22 @@ _PARTS_DDL = "part int, cls binary, counts binary, tokens binary, ids binary, id
 def _postings(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
+        turn = TaskContext.get().partitionId()
         sets: list[np.ndarray] = []
         cls: list[int] = []
         ids: list[int | None] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
-            tok = np.concatenate(sets)
-            doc = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
             c = np.array(cls, np.int64)
+            once = np.unique(c, return_index=True)[1]  # copies send their shingles once a buffer
+            tok = np.concatenate([sets[i] for i in once])
+            doc = np.repeat(once.astype(np.int32), [len(sets[i]) for i in once])
             part = ((tok >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
             order = np.argsort(part, kind="stable")
             tok32, doc, part = tok[order].astype(np.uint32), doc[order], part[order]
             bounds = np.searchsorted(part, np.arange(parts + 1))
-            home = (c.view(np.uint64) % np.uint64(parts)).astype(np.int64)
+            home = (np.arange(len(c)) + turn) % parts  # ids only pass through: spread them evenly, however many are of one class
             by_home = np.argsort(home, kind="stable")
             home_at = np.searchsorted(home[by_home], np.arange(parts + 1))
             sizes = np.array([len(s) for s in sets], np.int64)
