@@ -280,6 +280,12 @@ FROM parts GROUP BY 1, 2""",
     "merge_back": with_(*PIPE, PARTS, SHEET, EXTRACT) + "\nSELECT court_book_id, line_id, matched, entry_final FROM merged",
     "writeback_delta": with_(*PIPE, PARTS, SHEET, EXTRACT) + f"""
 SELECT court_book_id, line_id, '{Q.RUN_ID}' AS run_id, entry_final FROM merged WHERE matched""",
+    "write_back_runs": with_(*PIPE, PARTS, SHEET, EXTRACT) + f"""
+SELECT court_book_id, line_id, '{Q.RUN_ID}' AS run_id, entry_final FROM merged WHERE matched""",
+    "run_events": with_(ENTRIES) + f"""
+SELECT '{Q.RUN_ID}' AS run_id, 'route' AS stage, metric, value FROM (
+  SELECT 'rows' AS metric, count(*) AS value FROM entries_r
+  UNION ALL SELECT m.metric, count(*) FILTER (WHERE route = m.metric) FROM entries_r, (VALUES ('bypass'), ('summarise'), ('drop')) m(metric) GROUP BY m.metric)""",
     "column_width_profile": with_(*PIPE, PARTS, SHEET) + ",\nprof AS (\n" + "\n  UNION ALL\n".join(
         f"  SELECT court_book_id, '{chr(65 + i)}' AS column_letter, '{disp}' AS column_name, "
         f"max(length({col})) AS max_len FROM sheet GROUP BY court_book_id"
@@ -307,6 +313,7 @@ SELECT court_book_id, line_id,
 FROM merged""",
     "worklist_scan": with_(WORK) + "\nSELECT line_no, ID FROM worklist WHERE ID IS NOT NULL AND ID <> ''",
     "incremental_anti": with_(WORK) + "\nSELECT line_no, ID FROM worklist WHERE ID NOT IN (SELECT ID FROM ledger)",
+    "incremental_bucketed": with_(WORK) + "\nSELECT line_no, ID FROM worklist WHERE ID NOT IN (SELECT ID FROM ledger)",
     "incremental_semi": with_(WORK) + "\nSELECT line_no, ID FROM worklist WHERE ID IN (SELECT ID FROM ledger)",
     "worklist_except": with_(WORK) + "\nSELECT ID FROM worklist EXCEPT SELECT ID FROM ledger",
     "change_detect": """

@@ -8,18 +8,24 @@ formatted as text so that both engines compare equal.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketline import sinks
 from docketline.functions import text as T
 from docketline.functions.html_exact import with_first_line
 from docketline.operators import extract, inference, joins, payload, post
 from docketline.operators.ordered import previous_non_null
 from docketline.plans.chronology import land_entries, run_chronology
+from docketline.run_log import RunLog, read_events
+from docketline.session import _delete_on_exit, ensure_checkpoint_dir
 from docketline.sources import fixtures as fx
 from docketline.sources import readers
+from docketline.write_back import FolderClient, write_back
 
 # --- fixed run parameters of the registered queries -------------------------
 RUN_ID = "run-0"
@@ -279,6 +285,29 @@ def q_writeback_delta(spark, sf):
     return _run(spark, sf).delta
 
 
+def _scratch(spark, name):
+    path = os.path.join(ensure_checkpoint_dir(spark), "files", f"{name}-{uuid.uuid4().hex}")
+    _delete_on_exit(spark, path)
+    return path
+
+
+def q_write_back_runs(spark, sf):
+    """The delta staged by tasks, published at once, and read back."""
+    client = FolderClient(_scratch(spark, "write-back"))
+    write_back(_run(spark, sf).delta, client, RUN_ID)
+    return client.published(spark)
+
+
+def q_run_events(spark, sf):
+    """Counts that a stage reports from the job that writes it."""
+    log = RunLog(spark, _scratch(spark, "events"), RUN_ID)
+    routed = extract.route_entries(land_entries(_entries(spark, sf)))
+    counts = {k: F.col("route") == k for k in ("bypass", "summarise", "drop")}
+    log.stage("route", routed, lambda df: df.write.parquet(_scratch(spark, "routed")), counts)
+    ended = read_events(spark, log.path).where("event = 'end'")
+    return ended.select("run_id", "stage", F.explode("metrics").alias("metric", "value"))
+
+
 def q_chronology_payload(spark, sf):
     return _run(spark, sf).payload
 
@@ -293,6 +322,13 @@ def q_incremental_anti(spark, sf):
     return joins.unprocessed(readers.worklist_ids(fx.worklist(spark, sf)), fx.ledger(spark, sf))
 
 
+def q_incremental_bucketed(spark, sf):
+    """``incremental_anti`` against a ledger kept in buckets of its ids."""
+    name = f"ledger_{uuid.uuid4().hex}"
+    ledger = sinks.bucketed(fx.ledger(spark, sf).select("ID"), ["ID"], _scratch(spark, "ledger"), name)
+    return joins.unprocessed(readers.worklist_ids(fx.worklist(spark, sf)), ledger)
+
+
 def q_incremental_semi(spark, sf):
     return joins.already_processed(readers.worklist_ids(fx.worklist(spark, sf)), fx.ledger(spark, sf))
 

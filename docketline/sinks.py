@@ -18,8 +18,7 @@ SHEET_BLOCK = 1 << 16
 
 
 def _writer(df: DataFrame, *parts: str):
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    return df.write.mode("overwrite").partitionBy(*parts)
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
 
 
 def write_courtbook_rows(rows: DataFrame, path: str, csv: bool = False) -> None:
@@ -69,6 +68,16 @@ def write_delta(delta: DataFrame, path: str) -> None:
     _writer(delta, "run_id", "court_book_id").parquet(path)
 
 
+def bucketed(df: DataFrame, keys: list[str], path: str, name: str, buckets: int | None = None) -> DataFrame:
+    """Write a table in buckets of its keys and read it back. Joins and groupings
+    on the keys then exchange the other side only, which is what a ledger far
+    larger than a work list needs. ``buckets`` defaults to the session's shuffle
+    partitions; fewer would have Spark exchange this side again."""
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, *keys).sortBy(*keys).mode("overwrite").option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def archive(df: DataFrame, path: str, run_id: str) -> None:
     """Keep a run's outputs under (run_id, book) instead of zip files."""
     _writer(df.withColumn("run_id", F.lit(run_id)), "run_id", "court_book_id").parquet(path)
