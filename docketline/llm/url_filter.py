@@ -3,7 +3,9 @@ n-grams of host and path.
 
 The small labelled table is made by the rules: distinct URLs that a rule judges,
 with the rule's verdict, at most ``MAX_TRAIN`` of them in the order of a hash of
-the URL (a bounded sample for fitting only; every URL is judged). Weights are
+the URL (a bounded sample for fitting only; every URL is judged). The labelled URLs
+are counted first, so no more than about twice as many are sorted for it, however
+many partitions there are. URLs that a rule decides are not scored. Weights are
 fitted in numpy on the driver and reach the workers as one array of
 ``2 ** BITS`` numbers.
 
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docketline.llm.common import fresh
+from docketline.llm.common import fresh, materialize
 
 #: Host, path and verdict of the site rules.
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -103,7 +105,12 @@ def judge(pages: DataFrame, url_col: str = "url", out: str = "judged",
     df = df.withColumn(decided, rule_of(host, path, rules))
     labelled = (df.where(F.col(decided).isNotNull())
                 .select(host.alias("host"), path.alias("path"), (F.col(decided)["verdict"] == "block").cast("int").alias("y"))
-                .distinct().orderBy(F.xxhash64("host", "path"), "host", "path").limit(max_train))
+                .distinct().withColumn("turn", F.xxhash64("host", "path")))
+    labelled = materialize(labelled, "url-labels")
+    n = labelled.count()
+    if n > 2 * max_train:  # hashes are even: about 2 * max_train lie below, and the least max_train among them
+        labelled = labelled.where(F.col("turn") <= (1 << 64) * 2 * max_train // n - (1 << 63))
+    labelled = labelled.orderBy("turn", "host", "path").limit(max_train).drop("turn")
     w, b = fit([tuple(r) for r in labelled.collect()])
     weights = w.astype(np.float32)
 
@@ -111,6 +118,9 @@ def judge(pages: DataFrame, url_col: str = "url", out: str = "judged",
         for hosts, paths in batches:
             p = []
             for h, q in zip(hosts.to_pylist(), paths.to_pylist()):
+                if h is None:  # a rule has decided
+                    p.append(None)
+                    continue
                 x = features(h, q)
                 z = float(weights[x].sum()) / max(1, len(x)) ** 0.5 + b
                 p.append(float(1 / (1 + np.exp(-min(30.0, max(-30.0, z))))))
@@ -118,8 +128,8 @@ def judge(pages: DataFrame, url_col: str = "url", out: str = "judged",
 
     run.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
     p_block = fresh(pages, "url_p_block")
-    df = df.withColumn(p_block, F.arrow_udf(run, "double")(host, path))
+    df = df.withColumn(p_block, F.arrow_udf(run, "double")(F.when(F.col(decided).isNull(), host), path))
     verdict = F.coalesce(F.col(decided)["verdict"], F.when(F.col(p_block) >= 0.5, "block").otherwise("allow"))
     judged = F.struct(host.alias("host"), path.alias("path"), F.col(decided)["rule"].alias("rule"), verdict.alias("verdict"),
-                      F.when(F.col(decided).isNull(), F.col(p_block)).alias("p_block"))
+                      F.col(p_block).alias("p_block"))
     return df.select(*[F.col(f"`{c}`") for c in pages.columns], judged.alias(out))
