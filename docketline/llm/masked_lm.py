@@ -26,6 +26,10 @@ Defined results: null, empty and wordless texts have 0 tokens, a log-likelihood
 of 0 and a null mean; places beyond a text's edges are a token of their own; ties
 and repeated rows get equal scores; an empty table gives an empty result. The
 result has its own columns only.
+
+Each task trains its own copy of the network in a round, and the copies are averaged by
+the number of positions they trained on; so scores depend on how the table is dealt
+to tasks (and not on the order in which tasks end).
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +56,7 @@ BATCH = 2048
 RATE = 0.08
 BLOCK = 1 << 16
 SLICES = 16
+FAN = 16
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -161,19 +167,28 @@ class Network:
             self.parts[k] -= RATE * grad / np.sqrt(seen[k] + 1e-8)
 
 
-def _sum_slices(df: DataFrame, kind: type) -> np.ndarray:
-    """Sum the tasks' arrays, slice by slice; their length is fixed."""
+def _sum_slices(df: DataFrame, kind: type, tables: int) -> np.ndarray:
+    """Sum the arrays of ``tables`` tasks, slice by slice, FAN at a time, so a group
+    holds a few slices however many tasks there are; their length is fixed."""
     def add(t: pa.Table) -> pa.Table:
+        t = t.sort_by("turn")  # the same sum in whatever order the rows come
         total = sum(np.frombuffer(x, kind) for x in t.column("part").to_pylist())
-        return pa.table({"slice": t.column("slice")[:1], "part": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"slice": t.column("slice")[:1], "turn": t.column("fan")[:1], "part": pa.array([total.tobytes()], pa.binary())})
 
-    rows = df.groupBy("slice").applyInArrow(add, "slice int, part binary").collect()
+    while tables > 1:
+        df = df.withColumn("fan", F.floor(F.col("turn") / F.lit(FAN)).cast("int")).groupBy("slice", "fan").applyInArrow(add, _SLICE_DDL)
+        tables = -(-tables // FAN)
+    rows = df.collect()
     return np.concatenate([np.frombuffer(r["part"], kind) for r in sorted(rows, key=lambda r: r["slice"])] or [np.zeros(0, kind)])
 
 
+_SLICE_DDL = "slice int, turn int, part binary"
+
+
 def _slices(array: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([x.tobytes() for x in np.array_split(array, SLICES)], pa.binary())],
-                                      names=["slice", "part"])
+    turn = TaskContext.get().partitionId()
+    return pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([turn] * SLICES, pa.int32()),
+                                       pa.array([x.tobytes() for x in np.array_split(array, SLICES)], pa.binary())], names=["slice", "turn", "part"])
 
 
 def token_counts(tokens: DataFrame) -> np.ndarray:
@@ -186,7 +201,7 @@ def token_counts(tokens: DataFrame) -> np.ndarray:
                     np.add.at(total, np.frombuffer(t, np.uint16), 1)
         yield _slices(total)
 
-    found = _sum_slices(tokens.select("tokens").mapInArrow(run, "slice int, part binary"), np.int64)
+    found = _sum_slices(tokens.select("tokens").mapInArrow(run, _SLICE_DDL), np.int64, tokens.rdd.getNumPartitions())
     return found if len(found) else np.zeros(1 << TOKEN_BITS, np.int64)
 
 
@@ -225,7 +240,7 @@ def train(tokens: DataFrame, cls: np.ndarray, class_mass: np.ndarray, rounds: in
             if done:
                 yield _slices(np.concatenate((own.weights.astype(np.float64) * done, [float(done)])))
 
-        total = _sum_slices(tokens.select("id", "tokens").mapInArrow(run, "slice int, part binary"), np.float64)
+        total = _sum_slices(tokens.select("id", "tokens").mapInArrow(run, _SLICE_DDL), np.float64, tokens.rdd.getNumPartitions())
         if not len(total):
             break
         net = Network((total[:-1] / total[-1]).astype(np.float32))
