@@ -31,58 +31,76 @@ RAW_TEXT_ELEMENTS = frozenset({"script", "style"})
 # ----------------------------------------------------------------------------
 
 
-class _Walker(HTMLParser):
-    """Collects stripped text nodes, and the text of every <p> element."""
+class _Done(Exception):
+    """The first non-empty paragraph has ended."""
+
+
+class _FirstParagraph(HTMLParser):
+    """Collects the text of the first non-empty <p> element, and stops behind it.
+
+    Text belongs to every open paragraph, so the one that wins is the outermost
+    that is open when the first text inside any paragraph comes; those before it
+    closed empty. Elements are counted by name, so each tag costs what it opens or
+    closes, and a document is read in linear time however it is nested."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[str] = []
-        self.nodes: list[str] = []
-        self.paragraphs: list[list[str]] = []
-        self.open_p: list[tuple[int, int]] = []   # (stack depth, paragraph no)
+        self.count: dict[str, int] = {}
+        self.open_p: list[int] = []       # places in the stack
+        self.winner: int | None = None    # place in the stack
+        self.text: list[str] = []
 
     def handle_starttag(self, tag, attrs):
         if tag in VOID_ELEMENTS:
             return
-        self.stack.append(tag)
         if tag == "p":
-            self.paragraphs.append([])
-            self.open_p.append((len(self.stack), len(self.paragraphs) - 1))
+            self.open_p.append(len(self.stack))
+        self.stack.append(tag)
+        self.count[tag] = self.count.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
-        if tag == "p":
-            self.paragraphs.append([])
+        pass  # an empty element
 
     def handle_endtag(self, tag):
-        if tag not in self.stack:
+        if not self.count.get(tag):
             return
-        depth = len(self.stack) - 1 - self.stack[::-1].index(tag)
-        del self.stack[depth:]
-        self.open_p = [(d, i) for d, i in self.open_p if d <= depth]
+        while True:
+            closed = self.stack.pop()
+            self.count[closed] -= 1
+            if closed == "p":
+                self.open_p.pop()
+            if closed == tag:
+                break
+        if self.winner is not None and len(self.stack) <= self.winner:
+            raise _Done
 
     def handle_data(self, data):
-        if self.stack and self.stack[-1] in RAW_TEXT_ELEMENTS:
+        if not self.open_p or self.stack[-1] in RAW_TEXT_ELEMENTS:
             return
         s = data.strip()
-        if not s:
-            return
-        self.nodes.append(s)
-        for _, i in self.open_p:
-            self.paragraphs[i].append(s)
+        if s:
+            if self.winner is None:
+                self.winner = self.open_p[0]
+            self.text.append(s)
 
 
-def _walk(doc: str | None) -> _Walker:
-    w = _Walker()
-    if doc:
-        w.feed(doc)
-        w.close()
-    return w
+def first_paragraph(doc: str | None) -> str | None:
+    """The whole text of the first non-empty <p>, None if there is none."""
+    parser = _FirstParagraph()
+    try:
+        if doc:
+            parser.feed(doc)
+            parser.close()
+    except _Done:
+        pass
+    return "".join(parser.text) if parser.text else None
 
 
 @F.pandas_udf(StringType())
 def first_paragraph_exact(docs: pd.Series) -> pd.Series:
-    """The whole text of each document's first non-empty ``<p>``, null if none."""
-    return docs.map(lambda d: next(("".join(t) for t in _walk(d).paragraphs if any(t)), None))
+    """``first_paragraph`` of each document."""
+    return docs.map(first_paragraph)
 
 
 def first_line_exact(html: Column) -> Column:

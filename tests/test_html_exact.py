@@ -8,10 +8,13 @@ from html.entities import html5
 
 import pytest
 from conftest import SF01, one_col
+from html_tree import walk
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from docketline.functions import text as T
-from docketline.functions.html_exact import _walk, first_line_exact, with_first_line
+from docketline.functions.html_exact import first_line_exact, first_paragraph, with_first_line
 from docketline.sources import fixtures as fx
 
 
@@ -32,7 +35,7 @@ def test_references_as_the_standard_library_decodes_them(spark):
 def test_native_text_is_that_of_the_tree_on_pages(spark):
     rows = fx.table(spark, SF01, "pages").select("html", T.html_to_text("html").alias("t")).collect()
     assert len(rows) == 250
-    assert all(r.t == html.unescape(" ".join(_walk(r.html).nodes)) for r in rows)
+    assert all(r.t == html.unescape(" ".join(walk(r.html).nodes)) for r in rows)
 
 
 @pytest.mark.parametrize("doc,line", [
@@ -51,7 +54,7 @@ def test_registered_first_lines_are_the_trees(spark):
     got = {r.page_id: r.first_line for r in QUERIES["first_line"](spark, SF01).collect()}
     pages = fx.table(spark, SF01, "pages").select("page_id", "html").collect()
     for p in pages:
-        full = next(filter(None, map("".join, _walk(p.html).paragraphs)), "-")
+        full = next(filter(None, map("".join, walk(p.html).paragraphs)), "-")
         assert got[p.page_id] == (full if len(full) <= 80 else full[:80] + "...")
     assert len(got) == len(pages) == 250
 
@@ -69,3 +72,19 @@ def test_long_malformed_texts(spark):
     df = spark.createDataFrame([(t,) for t in texts], "x string")
     rows = df.select(T.html_to_text("x").alias("t"), T.first_paragraph("x").alias("l"), T.format_html("x", F.lit("a.b")).alias("f")).collect()
     assert len(rows[0].t) == n + 5 and rows[1].t == rows[1].l == "t" and "<li>x</li>" in rows[2].f
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["<p>", "</p>", "<div>", "</div>", "<b>", "</b>", "<br>", "<p/>", "<script>", "</script>", "x", "y ", " ", "<li>", "</ul>", "&amp;"]), max_size=30))
+def test_first_paragraph_is_that_of_the_tree(parts):
+    doc = "".join(parts)
+    assert first_paragraph(doc) == next(("".join(t) for t in walk(doc).paragraphs if any(t)), None)
+
+
+def test_deep_nesting_is_linear():
+    import time
+    start = time.time()
+    assert first_paragraph("<p>" * 100_000 + "x" + "<p>y" * 100_000) == "x" + "y" * 100_000
+    assert first_paragraph("".join(f"<a{i}>" for i in range(50_000)) + "</zz>" * 50_000 + "<p>t") == "t"
+    assert first_paragraph("<p>" * 100_000 + "</p>" * 100_000 + "<p>end</p><p>no") == "end"
+    assert time.time() - start < 20
