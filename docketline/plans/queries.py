@@ -22,7 +22,7 @@ from docketline.operators import extract, inference, joins, payload, post
 from docketline.operators.ordered import previous_non_null
 from docketline.plans.chronology import land_entries, run_chronology
 from docketline.run_log import RunLog, read_events
-from docketline.session import _delete_on_exit, ensure_checkpoint_dir
+from docketline.session import _delete_on_exit, ensure_checkpoint_dir, spread
 from docketline.sources import fixtures as fx
 from docketline.sources import readers
 from docketline.write_back import FolderClient, write_back
@@ -78,12 +78,12 @@ def q_split_parts_300(spark, sf):
 
 
 def q_html_to_text(spark, sf):
-    p = fx.table(spark, sf, "pages")
+    p = spread(fx.table(spark, sf, "pages").select("page_id", "html"), "page_id")
     return p.select("page_id", T.html_to_text("html").alias("text"))
 
 
 def q_first_line(spark, sf):
-    p = fx.table(spark, sf, "pages").select("page_id", "html")
+    p = spread(fx.table(spark, sf, "pages").select("page_id", "html"), "page_id")
     return with_first_line(p, "html", "first_line").select(
         "page_id", "first_line", T.entry_description("first_line").alias("entry_description"))
 

@@ -65,6 +65,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows of a small scan out to all cores, by ``keys``.
+
+    A Parquet row group is read by one task, so a table with fewer full-size
+    splits than there are cores leaves cores idle in the text work that follows.
+    Larger scans are returned as they are: no exchange is added at scale.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df if size >= cores * split else df.repartition(cores, *keys)
+
+
 def _delete_on_exit(spark: SparkSession, path: str) -> None:
     """Have the file system drop ``path`` when the driver ends."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketline.functions.text import html_paragraphs
-from docketline.session import _delete_on_exit, ensure_checkpoint_dir
+from docketline.session import _delete_on_exit, ensure_checkpoint_dir, spread
 
 # --- fixed values of the fixture mapping ------------------------------------
 ENTRY_EPOCH_MS = 1_700_000_000_000      # entryDate of doc 0
@@ -44,7 +44,7 @@ def entry_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source entries as JSON text, one row per entry: (court_book_id, pos,
     raw). Unlabelled documents have no flags and no entryDate keys (absent,
     not null), like entries the source system never classified."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang", "n_chars")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang", "n_chars"), "doc_id")
     labels = table(spark, sf_dir, "labels")
     e = docs.join(labels, "doc_id", "left")
     html = html_paragraphs(F.col("text"))

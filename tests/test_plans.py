@@ -70,3 +70,15 @@ def test_part_table_scans_each_response_once(spark):
     """Status and bullets of a response come from one regexp_extract_all."""
     p = plan(QUERIES["part_table"](spark, SF01))
     assert p.count("regexp_extract_all") == 1, p
+
+
+def test_only_small_scans_are_dealt_out(spark):
+    """A scan with fewer full-size splits than cores gets an exchange, a larger one doesn't."""
+    p = plan(QUERIES["html_to_text"](spark, SF01))
+    assert "REPARTITION_BY_NUM" in p and "ReadSchema: struct<page_id:bigint,html:string>" in p
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert "Exchange" not in plan(QUERIES["html_to_text"](spark, SF01))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
