@@ -2,24 +2,25 @@
 
 The input is a count for each length (at most ``capacity`` of them, however many
 documents there are), the output a list of fillings with how often each is used.
-Around the largest remaining length the undominated fillings of the bin are
-enumerated, fullest first; a filling is taken as often as the counts allow. A
+Around the largest remaining length all undominated fillings of the bin are
+enumerated, fullest first, each only when the one before has been searched. A
+filling is taken as often as the counts allow (once where that would waste too
+much), so a level holds few bins as one step and the tree has steps, not bins. A
 branch whose waste so far exceeds what a better packing than the incumbent may
 waste is cut. Best-fit decreasing gives the first incumbent. The search ends at
-the lower bound, when the tree is exhausted, or after ``max_nodes`` nodes; the
-incumbent then is a whole packing in any case.
+the lower bound, when this tree is exhausted, or when ``max_nodes`` fillings have
+been looked at; the incumbent is a whole packing in any case. On large
+histograms the budget, not exhaustion, ends a search that misses the bound.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from itertools import product
+from collections.abc import Iterator
 
 Filling = tuple[tuple[int, int], ...]  # (length, copies), largest first
 Packing = list[tuple[Filling, int]]  # (filling, bins)
 
 MAX_NODES = 4000
-WIDTH = 6
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
@@ -71,87 +72,82 @@ def best_fit(counts: dict[int, int], capacity: int) -> Packing:
     return [(f, t) for by in open_.values() for f, t in by.items()]
 
 
-def dominates(a: list[int], b: list[int]) -> bool:
-    """Whether the items of ``b`` can be dealt out into the items of ``a``."""
-    if sum(a) < sum(b) or len(a) > len(b):
+def undominated(items: list[int], counts: dict[int, int], room: int) -> bool:
+    """Whether no other filling of ``room`` from ``counts`` can take over this one's
+    items, dealt out into its own. If one can, then some items (maybe none) can
+    be swapped for a single unused one that is larger, or as large as several of
+    them; so it is enough to look at the sums of subsets, held as bits."""
+    unused = dict(counts)
+    none_or_one, several = 1, 0  # bits: sums of at most one item, of two or more
+    for x in items:
+        unused[x] -= 1
+        several |= (several | none_or_one & ~1) << x
+        none_or_one |= 1 << x
+    free = sum(1 << x for x, c in unused.items() if c and x <= room)
+    if several & free:
         return False
-    if len(a) == 1:
-        return True
-    if len(a) ** len(b) > 256:
-        return False
-    for deal in product(range(len(a)), repeat=len(b)):
-        load = [0] * len(a)
-        for i, x in zip(deal, b):
-            load[i] += x
-        if all(u <= v for u, v in zip(load, a)):
-            return True
-    return False
-
-
-def completions(room: int, counts: dict[int, int], waste_bound: int, width: int = WIDTH) -> list[list[int]]:
-    """Undominated fillings of ``room`` that waste at most ``waste_bound``,
-    fullest first. Each begins with another largest item and is completed with
-    the largest that still fit; for its last two places the best pair is sought."""
-    lengths = sorted(n for n, c in counts.items() if c and n <= room)
-    if not lengths:
-        return [[]] if room <= waste_bound else []
-    found: dict[tuple[int, ...], int] = {}
-    exact = 0
-    for first in reversed(lengths):
-        for pair in (False, True):
-            used, items, left = {}, [], room
-            x = first
-            while x:
-                items.append(x)
-                used[x] = used.get(x, 0) + 1
-                left -= x
-                if not left:
-                    break
-                if pair and len(items) == 1:
-                    x = _pair_head(lengths, counts, used, left, first)
-                else:
-                    x = _largest(lengths, counts, used, min(left, first))
-            if left <= waste_bound:
-                found[tuple(items)] = left
-                exact += not left
-        if exact >= width:
-            break
-    ranked = sorted(found, key=lambda f: (found[f], len(f), [-x for x in f]))
-    kept: list[list[int]] = []
-    for f in ranked:
-        if len(kept) == width:
-            break
-        if not any(dominates(k, list(f)) for k in kept):
-            kept.append(list(f))
-    return kept
-
-
-def _largest(lengths: list[int], counts: dict[int, int], used: dict[int, int], most: int) -> int:
-    i = bisect_right(lengths, most) - 1
-    while i >= 0 and used.get(lengths[i], 0) >= counts[lengths[i]]:
-        i -= 1
-    return lengths[i] if i >= 0 else 0
-
-
-def _pair_head(lengths: list[int], counts: dict[int, int], used: dict[int, int], room: int, most: int) -> int:
-    """The larger of the two lengths whose sum fills ``room`` best."""
-    best, head, lo, hi = -1, 0, 0, bisect_right(lengths, min(room, most)) - 1
-    while lo <= hi:  # from both ends of the sorted lengths
-        s = lengths[lo] + lengths[hi]
-        if s > room:
-            hi -= 1
+    reach, slack = none_or_one | several, room - sum(items)
+    return not any(reach << d & free for d in range(1, slack + 1))
+
+
+def completions(room: int, counts: dict[int, int], waste_bound: int, budget: list[int]) -> Iterator[list[int]]:
+    """All undominated fillings of ``room`` that waste at most ``waste_bound``, one
+    by one, fullest first and then with the largest items first. Every filling
+    looked at takes one from ``budget``; at zero there are no more."""
+    lengths = sorted((n for n, c in counts.items() if c and n <= room), reverse=True)
+    full = (1 << room + 1) - 1
+    reach = [1]  # bits: sums that the lengths from a place on can make
+    for x in reversed(lengths):
+        sums, left, step = reach[-1], min(counts[x], room // x), 1
+        while left:
+            step = min(step, left)
+            sums |= sums << x * step & full
+            left, step = left - step, step * 2
+        reach.append(sums)
+    reach.reverse()
+
+    def choices(i: int, target: int) -> Iterator[tuple[int, int, int]]:
+        for j in range(i, len(lengths)):
+            if not reach[j] >> target & 1:
+                return
+            x = lengths[j]
+            for k in range(min(counts[x], target // x), 0, -1):
+                if reach[j + 1] >> target - k * x & 1:
+                    yield j, k, target - k * x
+
+    for waste in range(min(waste_bound, room) + 1):
+        if not reach[0] >> room - waste & 1:
             continue
-        need = {lengths[lo]: 1}
-        need[lengths[hi]] = need.get(lengths[hi], 0) + 1
-        if s > best and all(used.get(x, 0) + k <= counts[x] for x, k in need.items()):
-            best, head = s, lengths[hi]
-            if s == room:
-                break
-        lo += 1
-    return head or _largest(lengths, counts, used, min(room, most))
-
-
-def solve(counts: dict[int, int], capacity: int, max_nodes: int = MAX_NODES, width: int = WIDTH) -> Packing:
+        if waste == room:
+            if not lengths:
+                yield []
+            return
+        items: list[tuple[int, int]] = []
+        levels = [choices(0, room - waste)]
+        while levels:
+            step = next(levels[-1], None)
+            if step is None:
+                levels.pop()
+                if items:
+                    items.pop()
+                continue
+            j, k, target = step
+            items.append((lengths[j], k))
+            if target:
+                levels.append(choices(j + 1, target))
+                continue
+            if budget[0] <= 0:
+                return
+            budget[0] -= 1
+            filling = [x for x, n in items for _ in range(n)]
+            if undominated(filling, counts, room):
+                yield filling
+            if filling == [room]:  # it dominates all others
+                return
+            items.pop()
+
+
+def solve(counts: dict[int, int], capacity: int, max_nodes: int = MAX_NODES) -> Packing:
     """A packing of ``counts`` (length -> number of items, 1 <= length <=
     capacity) in as few bins as the search finds."""
     counts = {int(n): int(c) for n, c in counts.items() if c}
@@ -163,11 +159,11 @@ def solve(counts: dict[int, int], capacity: int, max_nodes: int = MAX_NODES, wid
     bound = lower_bound(counts, capacity)
     best = best_fit(counts, capacity)
     bins = sum(t for _, t in best)
-    nodes = 0
+    budget = [max_nodes]
     # each level: the remaining counts, waste and bins so far, the fillings left to try, the step taken
-    stack = [_level(counts, 0, 0, capacity, (bins - 1) * capacity - total, width)]
+    stack = [_level(counts, 0, 0, capacity, (bins - 1) * capacity - total, budget)]
     steps: Packing = []
-    while stack and bins > bound and nodes < max_nodes:
+    while stack and bins > bound:
         left, waste, used, largest, fillings = stack[-1]
         if not left:
             if used < bins:
@@ -176,13 +172,13 @@ def solve(counts: dict[int, int], capacity: int, max_nodes: int = MAX_NODES, wid
             if steps:
                 steps.pop()
             continue
-        if not fillings:
+        completion = next(fillings, None)
+        if completion is None:
             stack.pop()
             if steps:
                 steps.pop()
             continue
-        nodes += 1
-        filling = [largest, *fillings.pop(0)]
+        filling = [largest, *completion]
         need: dict[int, int] = {}
         for x in filling:
             need[x] = need.get(x, 0) + 1
@@ -200,14 +196,14 @@ def solve(counts: dict[int, int], capacity: int, max_nodes: int = MAX_NODES, wid
             if not rest[x]:
                 del rest[x]
         steps.append((tuple(sorted(need.items(), reverse=True)), times))
-        stack.append(_level(rest, lost, used + times, capacity, allowed - lost, width))
+        stack.append(_level(rest, lost, used + times, capacity, allowed - lost, budget))
     return best
 
 
-def _level(left: dict[int, int], waste: int, used: int, capacity: int, spare: int, width: int) -> tuple:
+def _level(left: dict[int, int], waste: int, used: int, capacity: int, spare: int, budget: list[int]) -> tuple:
     if not left:
-        return left, waste, used, 0, []
+        return left, waste, used, 0, iter(())
     largest = max(left)
     others = dict(left)
     others[largest] -= 1
-    return left, waste, used, largest, completions(capacity - largest, others, max(spare, 0), width) if spare >= 0 else []
+    return left, waste, used, largest, completions(capacity - largest, others, spare, budget)

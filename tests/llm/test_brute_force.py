@@ -95,6 +95,35 @@ def test_compiled_rules_hold_as_stated(spark):
     assert [round(r[0], 6) for r in df.select(one.score(F.col)).collect()] == [round(1 / (1 + np.exp(-x)), 6) for x in (1, -1, -1)]
 
 
+def test_statistics_by_plain_counts():
+    rng = random.Random(6)
+    texts = ["", " \n", *["".join(rng.choice("aB1 \n.|#é漢\t!") for _ in range(rng.randrange(1, 200))) for _ in range(60)]]
+    assert rule_ensemble.statistics(None) == rule_ensemble.statistics(b"") == (0.0,) * len(rule_ensemble.STATISTICS)
+    for text in texts[1:]:
+        words = re.findall(r"[^\x20\x09-\x0d]+", text)
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0d]", x)]
+        n, m, points = len(words) or 1, len(lines) or 1, len(text)
+
+        def share(chars):
+            return sum(c in chars for c in text) / points
+        tops = Counter(words).most_common(1)
+        want = [len(words), len(lines), sum(map(len, words)) / n, share("B"), share("1"), share("#"), share(".!"), share("|"), share(" \t\n"),
+                len(set(words)) / n if words else 0.0, tops[0][1] / n if tops else 1.0, sum(a == b for a, b in itertools.pairwise(words)) / n,
+                len(set(lines)) / m, len(words) / m, sum(x.rstrip()[-1] in ".!?" for x in lines) / m, share("é漢"),
+                max((len(w.encode()) for w in words), default=0)]
+        assert np.allclose(rule_ensemble.statistics(text.encode()), want), text
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text")
+    y = spark.read.parquet(f"{SF01}/labels.parquet")
+    runs = []
+    for n in (1, 3, 17):
+        got = rule_ensemble.score_table(docs.repartition(n), y.repartition(n)).select("id", "score").collect()
+        runs.append(dict(map(tuple, got)))
+    assert all(abs(runs[0][k] - r[k]) < 1e-6 for r in runs[1:] for k in runs[0])
+
+
 def test_labels_of_one_kind(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     y = spark.read.parquet(f"{SF001}/labels.parquet")
@@ -268,7 +297,7 @@ def test_bin_completion_is_best_on_small_cases():
     rng = random.Random(4)
     for _ in range(60):
         items = [rng.randrange(1, 21) for _ in range(rng.randrange(1, 9))]
-        got = bin_completion.solve(Counter(items), 20, max_nodes=100_000, width=50)
+        got = bin_completion.solve(Counter(items), 20)
         assert Counter(x for f, t in got for n, c in f for x in [n] * c * t) == Counter(items)
         assert all(sum(n * c for n, c in f) <= 20 for f, _ in got)
 
@@ -281,6 +310,27 @@ def test_bin_completion_is_best_on_small_cases():
         assert sum(t for _, t in got) == best(sorted(items, reverse=True)), items
 
 
+def test_completions_are_the_undominated_fillings():
+    rng = random.Random(5)
+
+    def deals(items, into):
+        if not items:
+            return True
+        return any(deals(items[1:], into[:i] + [x - items[0]] + into[i + 1:]) for i, x in enumerate(into) if x >= items[0])
+
+    for _ in range(150):
+        room = rng.randrange(0, 16)
+        counts = {rng.randrange(1, 12): rng.randrange(0, 4) for _ in range(rng.randrange(0, 6))}
+        each = [[(n, k) for k in range(c + 1)] for n, c in counts.items()]
+        every = [sorted((n for n, k in pick for _ in range(k)), reverse=True) for pick in itertools.product(*each)]
+        every = [f for f in every if sum(f) <= room]
+        want = [f for f in every if not any(g != f and deals(f, g) for g in every)]
+        for waste in (0, 2, room):
+            got = list(bin_completion.completions(room, counts, waste, [10_000]))
+            assert sorted(got) == sorted(f for f in want if room - sum(f) <= waste), (room, counts, waste)
+            assert [sum(f) for f in got] == sorted(map(sum, got), reverse=True)
+
+
 def test_bin_completion_beats_best_fit():
     items = {8: 2, 7: 2, 5: 2}  # twice 8 + 7 + 5; best-fit decreasing begins with 8 + 8
     many = {n: c * 500 for n, c in items.items()}
