@@ -10,8 +10,9 @@
    intercept and the weights of the rules that hold. Scoring needs no model
    object and no Python.
 
-All labelled rows are used; training is distributed, and the driver holds only
-trees and weights.
+All labelled rows are used, equal ones as one with a weight; training is
+distributed, and the driver holds only trees and weights. How the tables are laid
+out has no part in the trees; the weights' sums may differ in their last digits.
 
 Defined results: null and empty texts have zero statistics and a score like any
 other text; rows whose label is null don't train; a document with several labels
@@ -38,6 +39,8 @@ TREES = 10
 DEPTH = 3
 LASSO = 0.001
 THRESHOLD = 0.3
+#: Labelled rows a training partition.
+PART_ROWS = 5000
 
 STATISTICS = ["n_words", "n_lines", "chars_per_word", "upper_share", "digit_share", "symbol_share", "mark_share", "bar_share",
               "space_share", "distinct_share", "top_word_share", "repeat_next_share", "distinct_line_share", "words_per_line",
@@ -49,10 +52,11 @@ _CLASSES = {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": b"0123456789", "sym
 
 def statistics(text: bytes | None) -> tuple:
     """The values of STATISTICS for one text."""
-    text = text or b""
+    if not text:
+        return (0.0,) * len(STATISTICS)
     words = text.split()
     lines = [x for x in text.split(b"\n") if x.strip()]
-    points = len(text.translate(None, CONTINUATION)) or 1
+    points = len(text.translate(None, CONTINUATION))
     n = len(words) or 1
     share = {k: (len(text) - len(text.translate(None, v))) / points for k, v in _CLASSES.items()}
     number: dict[bytes, int] = {}
@@ -114,6 +118,17 @@ class Ensemble:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
+def weighted_rows(train: DataFrame, stats_col: str, label_col: str) -> DataFrame:
+    """(statistics, y, weight): equal labelled rows as one with their number as
+    weight. The forest draws by partition and place there, so rows are placed and
+    ordered by their values, in a number of partitions that follows from theirs."""
+    stats = [F.col(f"`{stats_col}`")[k].alias(k) for k in STATISTICS]
+    names = [*STATISTICS, "y"]
+    rows = train.where(F.col(label_col).isNotNull()).select(*stats, F.col(label_col).cast("double").alias("y"))
+    rows = materialize(rows.groupBy(*names).agg(F.count(F.lit(1)).cast("double").alias("weight")), "training-rows")
+    return rows.repartition(1 + rows.count() // PART_ROWS, F.xxhash64(*names)).sortWithinPartitions(*names)
+
+
 def fit(train: DataFrame, stats_col: str, label_col: str, trees: int = TREES, depth: int = DEPTH, lasso: float = LASSO) -> Ensemble:
     """Grow trees on the labelled rows, extract rules, fit sparse weights."""
     counts = {int(r[0]): r[1] for r in train.where(F.col(label_col).isNotNull()).groupBy(F.col(label_col).cast("int")).count().collect()}
@@ -123,16 +138,15 @@ def fit(train: DataFrame, stats_col: str, label_col: str, trees: int = TREES, de
             raise ValueError("labels must be 0 or 1")
         share = min(max(ones / total if total else 0.5, 1e-6), 1 - 1e-6)
         return Ensemble([], math.log(share / (1 - share)))
-    stats = [F.col(f"`{stats_col}`")[k] for k in STATISTICS]
-    rows = train.where(F.col(label_col).isNotNull()).select(array_to_vector(F.array(*stats)).alias("x"), F.col(label_col).cast("double").alias("y"), *[
-        s.alias(k) for s, k in zip(stats, STATISTICS)])
-    forest = RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=trees, maxDepth=depth, featureSubsetStrategy="onethird",
+    rows = weighted_rows(train, stats_col, label_col)
+    rows = rows.select("*", array_to_vector(F.array(*STATISTICS)).alias("x"))
+    forest = RandomForestClassifier(featuresCol="x", labelCol="y", weightCol="weight", numTrees=trees, maxDepth=depth, featureSubsetStrategy="onethird",
                                     minInstancesPerNode=5, seed=1, maxBins=48).fit(rows)
     rules = tree_rules(forest)
     if not rules:
         return Ensemble([], math.log(ones / (total - ones)))
-    design = rows.select("y", array_to_vector(F.array(*[holds(r, F.col) for r in rules])).alias("r"))
-    model = LogisticRegression(featuresCol="r", labelCol="y", regParam=lasso, elasticNetParam=1.0, standardization=False, maxIter=60).fit(design)
+    design = rows.select("y", "weight", array_to_vector(F.array(*[holds(r, F.col) for r in rules])).alias("r"))
+    model = LogisticRegression(featuresCol="r", labelCol="y", weightCol="weight", regParam=lasso, elasticNetParam=1.0, standardization=False, maxIter=60).fit(design)
     return Ensemble([(r, float(w)) for r, w in zip(rules, model.coefficients.toArray()) if w], float(model.intercept))
 
 
