@@ -76,7 +76,8 @@ def _book_files(entries: DataFrame, value, name: str) -> str:
         "first": F.row_number().over(mine) == 1, "last": F.lead("pos").over(mine).isNull()})
     spark = entries.sparkSession
     path = os.path.join(ensure_checkpoint_dir(spark), "files", f"{name}-{uuid.uuid4().hex}")
-    d = d.sortWithinPartitions("court_book_id", "piece", "pos").select("court_book_id", "piece", value.alias("value"))
+    # the window's exchange is pruned where a line needs neither mark; a file must come from one task
+    d = d.repartition("court_book_id", "piece").sortWithinPartitions("court_book_id", "piece", "pos").select("court_book_id", "piece", value.alias("value"))
     d.write.partitionBy("court_book_id", "piece").text(path)
     _delete_on_exit(spark, path)
     return path
