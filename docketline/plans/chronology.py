@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from docketline import sinks
 from docketline.operators import extract, inference, payload, post
 from docketline.session import materialize
 from docketline.sources import readers
@@ -46,11 +47,13 @@ def land_raw(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 def run_chronology(entries: DataFrame, items: DataFrame, prompts: DataFrame, *,
                    scorer, run_id: str = "run-0", run_ts: str = "1970-01-01 00:00:00",
                    token_limit: int = extract.T.TOKEN_LIMIT,
-                   answered: DataFrame | None = None) -> ChronologyRun:
+                   answered: DataFrame | None = None, snapshot: str | None = None) -> ChronologyRun:
+    """``snapshot``: a folder that keeps the source rows of every run as they were
+    before the merge; all steps then read this run's copy, so nothing is written twice."""
     bad = None
     if "entry_date_ms" not in entries.columns:  # raw rows (pos, raw[, court_book_id, error])
         entries, bad = land_raw(entries)
-    entries = land_entries(entries)
+    entries = sinks.snapshot(entries, snapshot, run_id) if snapshot else land_entries(entries)
     rows = extract.courtbook_rows(entries, items, token_limit=token_limit, keep_internal=True)
     parts = inference.part_table(rows, prompts, scorer=scorer, run_ts=run_ts, answered=answered)
     sheet = post.chronology_sheet(parts)

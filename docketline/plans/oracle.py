@@ -316,6 +316,18 @@ FROM merged""",
     "incremental_bucketed": with_(WORK) + "\nSELECT line_no, ID FROM worklist WHERE ID NOT IN (SELECT ID FROM ledger)",
     "incremental_semi": with_(WORK) + "\nSELECT line_no, ID FROM worklist WHERE ID IN (SELECT ID FROM ledger)",
     "worklist_except": with_(WORK) + "\nSELECT ID FROM worklist EXCEPT SELECT ID FROM ledger",
+    "first_pending": with_(WORK) + """
+, dated AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS list_id, o_orderkey AS line_no, CAST(o_custkey AS VARCHAR) AS ID FROM orders)
+SELECT list_id, line_no, ID FROM dated WHERE ID NOT IN (SELECT ID FROM ledger)
+QUALIFY row_number() OVER (PARTITION BY list_id ORDER BY line_no, ID) = 1""",
+    "job_status": """
+WITH asked AS (SELECT CAST(o_custkey AS VARCHAR) AS ID, count(*) AS submissions, max(o_orderdate) AS last FROM orders GROUP BY 1),
+ended AS (SELECT CAST(o_custkey AS VARCHAR) AS ID, max(o_orderdate) AS ended FROM orders WHERE o_orderstatus = 'F' GROUP BY 1)
+SELECT ID, submissions, strftime(last, '%Y-%m-%d %H:%M:%S') AS last_submitted,
+       CASE WHEN ended IS NULL THEN 'pending' WHEN ended >= last THEN 'done' ELSE 'again' END AS status
+FROM asked LEFT JOIN ended USING (ID)""",
+    "sheet_strings": with_(*PIPE, PARTS, SHEET) + """
+SELECT nullif(CAST(COLUMNS(*) AS VARCHAR), '') FROM sheet""",
     "change_detect": """
 WITH w AS (SELECT CAST(user_id AS VARCHAR) AS path, ts, event_id, md5(event_type) AS md5 FROM events),
 p AS (SELECT *, last_value(md5 IGNORE NULLS) OVER (PARTITION BY path ORDER BY ts, event_id

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from docketline import sinks
 from docketline.functions import text as T
 from docketline.functions.html_exact import with_first_line
-from docketline.operators import extract, inference, joins, payload, post
+from docketline.operators import extract, inference, jobs, joins, payload, post
 from docketline.operators.ordered import previous_non_null
 from docketline.plans.chronology import land_entries, run_chronology
 from docketline.run_log import RunLog, read_events
@@ -340,6 +340,22 @@ def q_worklist_except(spark, sf):
 
 # --- change detection, logs ----------------------------------------------------------
 
+def q_first_pending(spark, sf):
+    return jobs.first_pending(fx.dated_worklists(spark, sf), fx.ledger(spark, sf), "line_no", ["list_id"])
+
+
+def q_job_status(spark, sf):
+    status = jobs.job_status(fx.submitted(spark, sf), fx.finished_at(spark, sf))
+    return status.withColumn("last_submitted", F.date_format("last_submitted", "yyyy-MM-dd HH:mm:ss"))
+
+
+def q_sheet_strings(spark, sf):
+    """The written sheet, read back with every cell as text."""
+    sheet, path = _run(spark, sf).sheet, _scratch(spark, "sheet")
+    sinks.write_sheet(sheet, path)
+    return readers.as_strings(sinks.read_parts(spark, path, sheet.schema).drop("file_name"))
+
+
 def q_change_detect(spark, sf):
     from docketline.streaming.watch import changes
     w = fx.watch(spark, sf)

@@ -7,6 +7,8 @@ retried run replaces only its own partitions.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +80,20 @@ def bucketed(df: DataFrame, keys: list[str], path: str, name: str, buckets: int
     return df.sparkSession.table(name)
 
 
+def snapshot(df: DataFrame, path: str, run_id: str) -> DataFrame:
+    """Keep the source rows of a run as they were before anything was merged into
+    them, one folder a run, and read them back; the same run again replaces its own.
+    Ids and books are data, not folder names, so '007', '' and null stay as they are."""
+    if not run_id or "/" in run_id:
+        raise ValueError(f"run id {run_id!r} can't name a folder")
+    df.write.mode("overwrite").parquet(os.path.join(path, f"snapshot={run_id}"))
+    return read_snapshot(df.sparkSession, path, run_id, df.schema)
+
+
+def read_snapshot(spark: SparkSession, path: str, run_id: str, schema) -> DataFrame:
+    return spark.read.schema(schema).parquet(os.path.join(path, f"snapshot={run_id}"))
+
+
 def archive(df: DataFrame, path: str, run_id: str) -> None:
     """Keep a run's outputs under (run_id, book) instead of zip files."""
     _writer(df.withColumn("run_id", F.lit(run_id)), "run_id", "court_book_id").parquet(path)

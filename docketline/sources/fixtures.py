@@ -158,6 +158,23 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.col("c_custkey").cast("string").alias("ID"))
 
 
+def dated_worklists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Work lists, one a day, of the requested books."""
+    return table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("list_id"),
+                                                 F.col("o_orderkey").alias("line_no"), F.col("o_custkey").cast("string").alias("ID"))
+
+
+def submitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submissions of books: every order, at its date."""
+    return table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("ID"), F.col("o_orderdate").alias("submitted_at"))
+
+
+def finished_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ends of books: orders with status F, at their date."""
+    done = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+    return done.select(F.col("o_custkey").cast("string").alias("ID"), F.col("o_orderdate").alias("finished_at"))
+
+
 def runlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(

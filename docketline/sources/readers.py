@@ -7,7 +7,7 @@ apart from "null".
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketline.functions.text import py_strip
@@ -37,6 +37,17 @@ def worklist_ids(df: DataFrame, col: str = "ID") -> DataFrame:
     return df.withColumn(col, ids).where(F.col(col).isNotNull() & (F.col(col) != ""))
 
 
+def as_strings(df: DataFrame) -> DataFrame:
+    """A sheet's cells as text: every column a string, booleans as Python prints
+    them, empty cells null (a sheet has no empty text)."""
+    def cell(name: str, kind: str) -> Column:
+        c = F.col(f"`{name}`")
+        text = F.initcap(c.cast("string")) if kind == "boolean" else c.cast("string")
+        return F.nullif(text, F.lit("")).alias(name)
+
+    return df.select(*[cell(name, kind) for name, kind in df.dtypes])
+
+
 def read_prompts(spark: SparkSession, path: str) -> DataFrame:
     """Prompt table CSV (prompt_id, prompt_text). No quoting or escaping: the
     text keeps its leading blank and literal backslash sequences."""
