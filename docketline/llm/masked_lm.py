@@ -54,7 +54,6 @@ ROUNDS = 3
 MASK = ROUNDS
 BATCH = 2048
 RATE = 0.08
-BLOCK = 1 << 16
 SLICES = 16
 FAN = 16
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -138,30 +137,52 @@ class Network:
         parts[3][:] = np.log(class_mass / class_mass.sum())
         return cls(np.concatenate([p.ravel() for p in parts]))
 
-    def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of the table, hidden values, and scores of all classes with the log of
+        their sum of exponentials, which is to be taken off."""
         table, b, w, c = self.parts
         rows = context + (np.arange(context.shape[1], dtype=np.int32) << CONTEXT_BITS)
-        h = np.tanh(sum(table[rows[:, k]] for k in range(rows.shape[1])) + b)
-        z = h @ w + c
+        h = table.take(rows[:, 0], axis=0)
+        for k in range(1, rows.shape[1]):
+            h += table.take(rows[:, k], axis=0)
+        h += b
+        np.tanh(h, out=h)
+        z = h @ w
+        z += c
         z -= z.max(axis=1, keepdims=True)
-        z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-        return rows, h, z
+        return rows, h, z, np.log(np.exp(z).sum(axis=1, keepdims=True))
+
+    def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Log-probability of each position's target class, in steps that stay in the cache."""
+        out = np.zeros(len(target), np.float32)
+        for i in range(0, len(target), BATCH):
+            t = target[i:i + BATCH]
+            _, _, z, total = self.forward(context[i:i + BATCH])
+            out[i:i + BATCH] = z[np.arange(len(t)), t] - total[:, 0]
+        return out
 
     def learn(self, context: np.ndarray, target: np.ndarray, seen: list[np.ndarray]) -> None:
         """One step on a batch, each weight with its own rate (Adagrad)."""
-        rows, h, logp = self.forward(context)
-        d = np.exp(logp)
+        rows, h, d, total = self.forward(context)
+        d -= total
+        np.exp(d, out=d)
         d[np.arange(len(target)), target] -= 1
         d /= len(target)
-        dh = (d @ self.parts[2].T) * (1 - h * h)
+        dh = d @ self.parts[2].T
+        dh *= 1 - h * h
         flat = rows.ravel(order="F")
         order = np.argsort(flat.astype(np.uint16), kind="stable")  # there are 2 * SIDE << CONTEXT_BITS <= 2 ** 16 rows
         ranked = flat[order]
         first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
         used = ranked[first]
-        g = np.add.reduceat(dh[order % len(dh)], first, axis=0)
-        seen[0][used] += g * g
-        self.parts[0][used] -= RATE * g / np.sqrt(seen[0][used] + 1e-8)
+        g = np.add.reduceat(dh.take(order % len(dh), axis=0), first, axis=0)
+        moved = seen[0].take(used, axis=0)
+        moved += g * g
+        seen[0][used] = moved
+        g *= RATE
+        moved += 1e-8
+        g /= np.sqrt(moved, out=moved)
+        self.parts[0][used] -= g
         for k, grad in ((1, dh.sum(axis=0)), (2, h.T @ d), (3, d.sum(axis=0))):
             seen[k] += grad * grad
             self.parts[k] -= RATE * grad / np.sqrt(seen[k] + 1e-8)
@@ -264,11 +285,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
             texts, parts = b.column(1).to_pylist(), []
             for lo, hi in blocks(texts):
                 token, context, doc = windows(texts[lo:hi])
-                logp = np.zeros(len(token))
-                for i in range(0, len(token), BLOCK):
-                    t = token[i:i + BLOCK]
-                    z = own.forward(context[i:i + BLOCK])[2]
-                    logp[i:i + BLOCK] = z[np.arange(len(t)), cls[t]] + inside[t]
+                logp = own.log_probs(context, cls[token]) + inside[token]
                 # without a token bincount gives integers
                 parts.append([np.bincount(doc, x, hi - lo).astype(kind) for x, kind in (
                     (None, np.int64), (logp, float), (prior[cls[token]] + inside[token], float))])

@@ -50,3 +50,19 @@ def test_labelled_urls_are_the_least_by_hash(spark, monkeypatch):
     assert parts == want and len(parts) == 200
     for r in out:
         assert (r["judged"]["p_block"] is None) == (r["judged"]["rule"] is not None)
+
+
+def test_scoring_goes_in_steps_that_stay_in_the_cache(monkeypatch):
+    """Log-probabilities are those of the whole softmax, worked out a batch at a time."""
+    rng = np.random.default_rng(3)
+    net = masked_lm.Network.start(np.ones(masked_lm.CLASSES))
+    n = 3 * masked_lm.BATCH + 17
+    context = rng.integers(0, 1 << masked_lm.CONTEXT_BITS, (n, 2 * masked_lm.SIDE)).astype(np.int32)
+    target = rng.integers(0, masked_lm.CLASSES, n)
+    table, b, w, c = (p.astype(np.float64) for p in net.parts)
+    z = np.tanh(sum(table[context[:, k] + (k << masked_lm.CONTEXT_BITS)] for k in range(2 * masked_lm.SIDE)) + b) @ w + c
+    want = z[np.arange(n), target] - np.log(np.exp(z).sum(axis=1))
+    seen, real = [], masked_lm.Network.forward
+    monkeypatch.setattr(masked_lm.Network, "forward", lambda self, x: seen.append(len(x)) or real(self, x))
+    assert np.allclose(net.log_probs(context, target), want, atol=1e-5)
+    assert max(seen) == masked_lm.BATCH and sum(seen) == n
