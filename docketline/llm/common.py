@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketline.session import materialize
+from docketline.session import small_batches as prepare
 
 __all__ = ["fresh", "read_table", "text_struct", "prepare", "materialize", "CONTINUATION", "SPACES"]
 
@@ -18,12 +19,6 @@ SPACES = b" \t\n\x0b\x0c\r"
 CONTINUATION = bytes(range(0x80, 0xC0))
 
 
-def prepare(spark: SparkSession) -> None:
-    """Keep Arrow batches small, so that long texts don't fill a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

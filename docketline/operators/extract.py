@@ -98,6 +98,8 @@ def _exact_first_lines(e: DataFrame) -> DataFrame:
     re-reads Parquet (the flagged branch is pruned by the null filter) rather
     than recomputing the source."""
     from docketline.functions.html_exact import first_line_exact
+    from docketline.session import small_batches
+    small_batches(e.sparkSession)
     flagged = F.col("_exact_html").isNotNull()
     plain = e.where(~flagged)
     exact = (e.where(flagged)

@@ -81,6 +81,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df if size >= cores * split else df.repartition(cores, *keys)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small, so that long texts don't fill a Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def _delete_on_exit(spark: SparkSession, path: str) -> None:
     """Have the file system drop ``path`` when the driver ends."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

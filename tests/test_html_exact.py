@@ -88,3 +88,22 @@ def test_deep_nesting_is_linear():
     assert first_paragraph("".join(f"<a{i}>" for i in range(50_000)) + "</zz>" * 50_000 + "<p>t") == "t"
     assert first_paragraph("<p>" * 100_000 + "</p>" * 100_000 + "<p>end</p><p>no") == "end"
     assert time.time() - start < 20
+
+
+def test_batches_of_the_exact_path_are_bounded_in_bytes(spark, monkeypatch):
+    """A worker holds a few MB of documents, whatever the session's batch size."""
+    import pandas as pd
+    from pyspark.sql.types import StringType
+
+    from docketline.functions import html_exact
+
+    @F.pandas_udf(StringType())
+    def held(docs: pd.Series) -> pd.Series:
+        return pd.Series([str(docs.str.len().sum())] * len(docs))
+
+    monkeypatch.setattr(html_exact, "first_paragraph_exact", held)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "64m")
+    docs = spark.range(0, 400, 1, 1).select(F.concat(F.lit("<p><p>"), F.repeat(F.lit("x"), 50_000)).alias("html"))
+    most = max(int(r["line"]) for r in with_first_line(docs, "html", "line").collect())
+    assert 0 < most <= 5_000_000
