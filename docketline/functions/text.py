@@ -254,11 +254,10 @@ def first_paragraph(c, max_length: int = FIRST_LINE_MAX, marked: bool = False) -
     """
     s = _c(c) if marked else paragraph_marked(c)
     pieces = F.slice(F.split(s, _P_OPEN), 2, 1 << 30)
-    texts = F.transform(
-        pieces,
-        lambda p: F.array_join(_text_nodes(F.substring_index(p, _P_CLOSE, 1)), ""))
-    first = F.try_element_at(F.filter(texts, lambda t: t != ""), F.lit(1))
-    return cut_line(first, max_length)
+    # text is worked out up to the first paragraph that has some
+    first = F.aggregate(pieces, F.lit(""), lambda found, p: F.when(found != "", found).otherwise(
+        F.array_join(_text_nodes(F.substring_index(p, _P_CLOSE, 1)), "")))
+    return _let(first, lambda x: cut_line(F.when(x != "", x), max_length))
 
 
 def cut_line(c, max_length: int = FIRST_LINE_MAX) -> Column:

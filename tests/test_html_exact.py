@@ -107,3 +107,10 @@ def test_batches_of_the_exact_path_are_bounded_in_bytes(spark, monkeypatch):
     docs = spark.range(0, 400, 1, 1).select(F.concat(F.lit("<p><p>"), F.repeat(F.lit("x"), 50_000)).alias("html"))
     most = max(int(r["line"]) for r in with_first_line(docs, "html", "line").collect())
     assert 0 < most <= 5_000_000
+
+
+def test_text_is_worked_out_up_to_the_first_paragraph(spark):
+    docs = ["<p> </p><p><b></b></p><p>one <i>two</i></p><p>three</p>", "<p></p>", "none", "", None, "<p>" + "y" * 81 + "</p>"]
+    assert one_col(spark, docs, T.first_paragraph) == ["onetwo", "-", "-", "-", "-", "y" * 80 + "..."]
+    plan = spark.createDataFrame([("",)], "x string").select(T.first_paragraph("x"))._jdf.queryExecution().analyzed().toString()
+    assert "aggregate(" in plan and "filter(" not in plan
