@@ -7,6 +7,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from docketline import sinks
 from docketline.operators import extract, inference, payload, post
@@ -59,6 +60,8 @@ def run_chronology(entries: DataFrame, items: DataFrame, prompts: DataFrame, *,
     sheet = post.chronology_sheet(parts)
     ext = payload.response_extract(sheet)
     merged = payload.merge_back(entries, ext)
+    # payload and delta replace the final text or leave it in ``raw``: their join doesn't carry it
+    replaced = payload.merge_back(entries.withColumn("entry_final_html", F.lit(None).cast("string")), ext)
     return ChronologyRun(rows=rows, parts=parts, sheet=sheet, extract=ext, merged=merged,
-                         payload=payload.payload_json(merged),
-                         delta=payload.writeback_delta(merged, run_id), quarantine=bad)
+                         payload=payload.payload_json(replaced),
+                         delta=payload.writeback_delta(replaced, run_id), quarantine=bad)

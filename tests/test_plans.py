@@ -82,3 +82,13 @@ def test_only_small_scans_are_dealt_out(spark):
         assert "Exchange" not in plan(QUERIES["html_to_text"](spark, SF01))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_payload_join_carries_no_second_text(spark):
+    """The entry's final text is in ``raw`` or replaced: it isn't exchanged beside it."""
+    from docketline.plans.queries import _run
+    run = _run(spark, SF01)
+    for df in (run.payload, run.delta):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        read = [x for x in plan.split("ReadSchema: ")[1:] if x.startswith("struct<court_book_id:string,line_id:string")]
+        assert read and not any("entry_final_html" in x.partition(">")[0] for x in read)
