@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from docketline.llm.bin_completion import MAX_NODES, Packing, solve
-from docketline.llm.common import materialize
+from docketline.llm.common import give_back, materialize
 
 CAPACITY = 1024
 END_TOKEN = 2
@@ -90,6 +90,7 @@ def pieces(docs: DataFrame, spec: str, capacity: int = CAPACITY, end_token: int
     shared = docs.sparkSession.sparkContext.broadcast(spec)  # about 2 MB, fixed by the tokenizer
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # of earlier stages
         encode = encoder(shared.value)
         task = TaskContext.get().partitionId()
         ranks: dict[int, int] = defaultdict(int)
@@ -110,6 +111,8 @@ def pieces(docs: DataFrame, spec: str, capacity: int = CAPACITY, end_token: int
             types = [pa.int64(), pa.int32(), *[pa.int64()] * 5, pa.binary()][:8 if with_ids else 7]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank", "ids"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names[:len(types)])
+        del encode
+        give_back()
 
     return (docs.select(F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string"))
             .mapInArrow(run, _PIECES + (", ids binary" if with_ids else "")))
