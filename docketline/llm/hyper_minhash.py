@@ -400,15 +400,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bands = _bands(classes)
     buckets = (bands.groupBy(F.col("key").alias("b_key")).agg(F.min("cls").alias("centre"), F.max("cls").alias("other")).where("centre < other").select("b_key", "centre"))
     shared = materialize(bands.join(buckets, F.col("key") == F.col("b_key")).drop("b_key"), "shared-buckets")
-    chosen = classes.join(shared.select(F.col("cls").alias("s_cls")).distinct(), F.col("cls") == F.col("s_cls"), "left_semi").select("cls", F.col("id").alias("c_id"), F.col("mark").alias("c_mark"))
-    chosen = materialize(chosen, "chosen")
+    chosen = classes.join(shared.select(F.col("cls").alias("s_cls")).distinct(), F.col("cls") == F.col("s_cls"), "left_semi")
+    chosen = materialize(chosen.select("cls", "n", "own", "lower", F.col("id").alias("c_id"), F.col("mark").alias("c_mark")), "chosen")
+    known = chosen.select("cls", "n", "own", "lower")  # cells hold no other classes
+    chosen = chosen.select("cls", "c_id", "c_mark")
     texts = rows.where(among(chosen.select(F.col("c_mark").alias("id")))(F.col("mark")))
     texts = texts.join(chosen, F.col("id").eqNullSafe(F.col("c_id")) & (F.col("mark") == F.col("c_mark"))).select("cls", "text")
     if not sketches.groupBy("id", "mark").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").isEmpty():
         texts = texts.dropDuplicates(["cls"])  # a chosen text stands in several rows
     sets = materialize(texts.mapInArrow(_sets, "cls long, tokens binary"), "sets")
-    roots = components(_join_cells(_near_cells(shared), classes, sets, "near-links"))
-    more = _join_cells(_open_cells(shared, roots), classes, sets, "open-links")
+    roots = components(_join_cells(_near_cells(shared), known, sets, "near-links"))
+    more = _join_cells(_open_cells(shared, roots), known, sets, "open-links")
     if not more.isEmpty():
         roots = _lift(roots, more)
     named = classes.select(F.col("cls").alias("c_cls"), "least").join(roots, F.col("c_cls") == F.col("node"), "left").select("c_cls", "least", F.coalesce("root", "c_cls").alias("root"))

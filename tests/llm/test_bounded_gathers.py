@@ -87,3 +87,17 @@ def test_a_worker_gives_freed_memory_back():
     full = held()
     give_back()
     assert full - held() > 50 and last
+
+
+def test_joins_of_cells_read_the_chosen_classes_only(spark, monkeypatch):
+    """Registers of classes that share no band with another aren't exchanged for cells."""
+    from docketline.llm import hyper_minhash
+
+    seen, real = [], hyper_minhash._join_cells
+    monkeypatch.setattr(hyper_minhash, "_join_cells", lambda cells, known, *a: seen.append(known.count()) or real(cells, known, *a))
+    texts = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(40)]
+    texts += [texts[0] + " more", texts[1] + " more"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: r["component"] for r in hyper_minhash.near_duplicates(df).collect()}
+    assert got == {i: {40: 0, 41: 1}.get(i, i) for i in range(42)}
+    assert seen and max(seen) < 10
