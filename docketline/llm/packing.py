@@ -141,6 +141,7 @@ def pack(docs: DataFrame, spec: str, capacity: int = CAPACITY, end_token: int =
     histogram = {r[0]: r[1] for r in cut.groupBy("length").agg(F.count(F.lit(1))).collect()}  # <= capacity rows
     plan = spark.createDataFrame(allocation(solve(histogram, capacity, max_nodes)) or [(0, 0, 0, 1, 0, 0)],
                                  "l long, lo long, hi long, copies long, first long, place long")
+    give_back()  # what the search held; the driver goes on to other stages
     # the plan has a few fillings a length, of at most some 45 lengths each: under 10 MB at this capacity
     before = F.sum("n").over(Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
     bases = blocks.select(F.col("length").alias("b_length"), F.col("task").alias("b_task"),
