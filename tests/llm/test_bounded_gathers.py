@@ -101,3 +101,39 @@ def test_joins_of_cells_read_the_chosen_classes_only(spark, monkeypatch):
     got = {r["id"]: r["component"] for r in hyper_minhash.near_duplicates(df).collect()}
     assert got == {i: {40: 0, 41: 1}.get(i, i) for i in range(42)}
     assert seen and max(seen) < 10
+
+
+def test_the_driver_gives_back_what_the_packing_search_held(spark, monkeypatch):
+    """The driver lives on after packing; what the search leaves in its heap adds to what other stages need."""
+    import json
+
+    from docketline.llm import packing
+
+    seen, solve = [], packing.solve
+    spec = json.dumps({"added_tokens": [], "model": {"vocab": {c: i + 3 for i, c in enumerate(packing.byte_alphabet())}}})
+    monkeypatch.setattr(packing, "pieces", lambda docs, *a: docs)
+    monkeypatch.setattr(packing, "solve", lambda *a: seen.append("search") or solve(*a))
+    monkeypatch.setattr(packing, "give_back", lambda: seen.append("back"))
+    cut = spark.createDataFrame([(i, 0, 0, 3, 7, 0, i) for i in range(4)], packing._PIECES)
+    got = packing.pack(cut, spec, capacity=8).collect()
+    assert seen == ["search", "back"]
+    assert sorted((r["doc_id"], r["length"]) for r in got) == [(i, 3) for i in range(4)]
+
+
+def test_cells_are_verified_from_written_tables(spark, monkeypatch):
+    """The exchanges that find pairs and cells aren't in the plan that exchanges the sets."""
+    from docketline.llm import signature_tree
+
+    seen, real = [], signature_tree._join_cells
+
+    def spy(cells, *a):
+        seen.append(cells._jdf.queryExecution().executedPlan().toString().count("Exchange "))
+        return real(cells, *a)
+
+    monkeypatch.setattr(signature_tree, "_join_cells", spy)
+    texts = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(40)]
+    texts += [texts[0] + " more", texts[1] + " more"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: r["component"] for r in signature_tree.link_components(df).collect()}
+    assert got == {i: {40: 0, 41: 1}.get(i, i) for i in range(42)}
+    assert len(seen) == 2 and seen[1] <= 1
