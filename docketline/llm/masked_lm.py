@@ -137,9 +137,8 @@ class Network:
         parts[3][:] = np.log(class_mass / class_mass.sum())
         return cls(np.concatenate([p.ravel() for p in parts]))
 
-    def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Rows of the table, hidden values, and scores of all classes with the log of
-        their sum of exponentials, which is to be taken off."""
+    def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows of the table, hidden values, and log-probabilities of all classes."""
         table, b, w, c = self.parts
         rows = context + (np.arange(context.shape[1], dtype=np.int32) << CONTEXT_BITS)
         h = table.take(rows[:, 0], axis=0)
@@ -150,21 +149,20 @@ class Network:
         z = h @ w
         z += c
         z -= z.max(axis=1, keepdims=True)
-        return rows, h, z, np.log(np.exp(z).sum(axis=1, keepdims=True))
+        z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+        return rows, h, z
 
     def log_probs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Log-probability of each position's target class, in steps that stay in the cache."""
         out = np.zeros(len(target), np.float32)
         for i in range(0, len(target), BATCH):
             t = target[i:i + BATCH]
-            _, _, z, total = self.forward(context[i:i + BATCH])
-            out[i:i + BATCH] = z[np.arange(len(t)), t] - total[:, 0]
+            out[i:i + BATCH] = self.forward(context[i:i + BATCH])[2][np.arange(len(t)), t]
         return out
 
     def learn(self, context: np.ndarray, target: np.ndarray, seen: list[np.ndarray]) -> None:
         """One step on a batch, each weight with its own rate (Adagrad)."""
-        rows, h, d, total = self.forward(context)
-        d -= total
+        rows, h, d = self.forward(context)
         np.exp(d, out=d)
         d[np.arange(len(target)), target] -= 1
         d /= len(target)
