@@ -181,3 +181,13 @@ def test_entry_texts_shared_pass_equals_per_column(spark):
         T.entry_description(T.first_paragraph("entry_final_html")).alias("entry_description"),
     ).collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_running_sum_never_broadcasts_the_rows(spark):
+    """Files of rows can be smaller than the decoded blocks; the rows, being more,
+    still must not be sent to the driver."""
+    df = spark.range(40_000).selectExpr("concat(repeat('k', 150), id % 400) AS k", "id div 400 AS pos", "1 AS n")
+    out = exclusive_running_sum(df, "k", "pos", "n", "base", materialize_as="test-rows")
+    rows = out.collect()
+    assert len(rows) == 40_000 and all(r["base"] == r["pos"] for r in rows)
+    assert "BuildLeft" not in out._jdf.queryExecution().executedPlan().toString()
